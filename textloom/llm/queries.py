@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, token_files
+from . import chat, jaccard_join, mixing, token_files, topk_search, warc
 
 QUERIES = {
+    "op1_topk_search": topk_search.op1_topk_search,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
+    "op6_chat_format": chat.op6_chat_format,
     "op7_token_files": token_files.op7_token_files,
+    "op8_warc": warc.op8_warc,
     "op9_pareto_mix": mixing.op9_pareto_mix,
 }
-ORACLE_SQL = {"op9_pareto_mix": mixing.OP9_SQL}
+ORACLE_SQL = {"op1_topk_search": topk_search.OP1_SQL, "op2_jaccard_join": jaccard_join.OP2_SQL, "op9_pareto_mix": mixing.OP9_SQL}

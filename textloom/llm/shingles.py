@@ -139,7 +139,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[n
         value = words[bounds[i] : bounds[i] + 1].copy()
         for k in range(1, int(n_words[i])):
             value = mix(value) + words[bounds[i] + k : bounds[i] + k + 1]
-        out[out_bounds[i]] = mix(value + np.uint64(width - n_words[i]) * _M1)[0]
+        out[out_bounds[i]] = mix(value + np.array([width - n_words[i]], np.uint64) * _M1)[0]
     return out, out_bounds
 
 
