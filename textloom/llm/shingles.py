@@ -59,26 +59,32 @@ def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
     return offsets - offsets[0], data[offsets[0] : offsets[-1]]
 
 
-def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of a piece."""
-    space = _SPACE[data]
+def whole_words(starts: np.ndarray, ends: np.ndarray, total: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """Each word's hash, of the prefix sums ``total`` of a piece."""
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def _piece(data: np.ndarray, space: np.ndarray, features) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each word of a piece, and what ``features`` makes of it."""
+    gap = space[data]
     edge = np.empty(len(data) + 1, bool)
-    edge[0], edge[-1] = not space[0], not space[-1]
-    np.not_equal(space[1:], space[:-1], out=edge[1:-1])
+    edge[0], edge[-1] = not gap[0], not gap[-1]
+    np.not_equal(gap[1:], gap[:-1], out=edge[1:-1])
     at = np.flatnonzero(edge)
     starts, ends = at[::2], at[1::2]
     power, inverse = _powers(len(data) + 1)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
     np.cumsum(_CODE[data] * power[: len(data)], out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return starts, features(starts, ends, total, inverse)
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(offsets: np.ndarray, data: np.ndarray, space: np.ndarray = _SPACE, features=whole_words, empty=(0,)) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, and offsets of each text's words.
 
-    Texts meet without a separator in ``data``, so each piece begins and ends at
-    a text's edge or, inside a long text, at white space.
+    ``space`` tells the bytes between words; ``features`` makes a row of each word
+    (``empty`` is the shape of no rows).  Texts meet without a separator in
+    ``data``, so neighbours are moved apart; a text over PIECE is cut at a gap.
     """
     n = len(offsets) - 1
     hashes, counts = [], np.zeros(n, np.int64)
@@ -90,32 +96,38 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
             while begin < end:
                 cut = min(begin + PIECE, end)
                 if cut < end:
-                    back = np.flatnonzero(_SPACE[data[begin:cut]])
+                    back = np.flatnonzero(space[data[begin:cut]])
                     if len(back):
                         cut = begin + int(back[-1]) + 1
                     else:  # one word longer than a piece
-                        ahead = cut
-                        while ahead < end and not _SPACE[data[ahead]]:
-                            ahead += 1
-                        cut = ahead
-                _, h = _piece(data[begin:cut])
+                        while cut < end and not space[data[cut]]:
+                            cut += 1
+                _, h = _piece(data[begin:cut], space, features)
                 hashes.append(h)
                 counts[i] += len(h)
                 begin = cut
         elif end > begin:
-            # a separator after every text keeps the words of neighbours apart
             own = offsets[i : j + 1] - begin
-            lengths = np.diff(own)
             padded = np.full(end - begin + (j - i), 32, np.uint8)
-            shift = np.repeat(np.arange(j - i), lengths)
-            padded[np.arange(end - begin) + shift] = data[begin:end]
-            starts, h = _piece(padded)
-            edges = own + np.arange(j - i + 1)
-            where = np.searchsorted(starts, edges)
-            counts[i:j] = np.diff(where)
+            padded[np.arange(end - begin) + np.repeat(np.arange(j - i), np.diff(own))] = data[begin:end]
+            starts, h = _piece(padded, space, features)
+            counts[i:j] = np.diff(np.searchsorted(starts, own + np.arange(j - i + 1)))
             hashes.append(h)
         i = j
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
+    return (np.concatenate(hashes) if hashes else np.zeros(empty, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> list[pa.RecordBatch]:
+    """A batch in parts whose texts have about ``most`` bytes, so that a task's memory is bounded by that."""
+    if not batch.num_rows:
+        return []
+    offsets, _ = string_buffers(batch.column(column))
+    out, i = [], 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
+        out.append(batch.slice(i, j - i))
+        i = j
+    return out
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
