@@ -37,8 +37,10 @@ TRAIN_ROWS = 6000
 VOCABULARY = 2048
 PREFIXES = (4, 5, 6)
 #: Weights of the squares of the coefficients and of the counterfactual changes.
-RIDGE, SWAP = 1e-3, 1.0
+RIDGE, SWAP = 1e-4, 1.0
 THRESHOLD = 0.3
+#: Features below this G (half the likelihood ratio statistic) tell nothing.
+LEAST_G = 6.0
 
 #: Groups of identity terms that can stand for each other.
 IDENTITIES = [
@@ -161,7 +163,7 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, changes: np.ndarray,
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ theta + bias, -30, 30)))
         error = weight * (p - y)
-        slope = x.T @ error + 2 * ridge / k * theta * 10
+        slope = x.T @ error + 2 * ridge * theta
         if len(times):
             slope = slope + 2 * swap / n * (changes.T @ (times * (changes @ theta)))
         g = np.append(slope, error.sum())
@@ -190,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabular
     a, b = float(half[1]), float(half[0])
     # G: how far the feature's counts in the classes are from the classes' sizes
     g = " + ".join(f"{k} * ln(greatest({k}, 1e-9) / ({e}))" for k, e in (("n1", f"(n1 + n0) * {a / (a + b)}"), ("n0", f"(n1 + n0) * {b / (a + b)}")))
-    best = counts.where("n1 + n0 >= 3").orderBy(F.expr(g).desc(), "feature").limit(vocabulary).select("feature").collect()
+    best = counts.where("n1 + n0 >= 3").where(F.expr(g) >= LEAST_G).orderBy(F.expr(g).desc(), "feature").limit(vocabulary).select("feature").collect()
     terms = [term_features(t) for group in identities for t in group]
     words = np.unique(np.concatenate([np.array([r["feature"] for r in best], np.int64).view(np.uint64), *terms]))
     got = chosen.mapInArrow(_select(words), "toxic int, at binary").collect()
