@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import math
+import re
+import unicodedata
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -114,12 +118,43 @@ def ngram_features(text: Column, low: int = 3, high: int = 5) -> Column:
     folded = F.trim(F.regexp_replace(T.ascii_fold(text), "[^a-z0-9]+", " "))
     marked = F.translate(folded, " ", "_")
     words = F.transform(F.filter(F.split(folded, " "), lambda w: w != ""), lambda w: F.concat(F.lit("w:"), w))
-    grams = [
-        F.when(F.length(marked) >= n, F.transform(F.sequence(F.lit(1), F.length(marked) - (n - 1)), lambda i, n=n: F.concat(F.lit(f"{n}:"), F.substring(marked, i, F.lit(n)))))
-        .otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
-    return F.concat(words, *grams)
+
+    def grams(n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.length(marked) - (n - 1)), lambda i: F.concat(F.lit(f"{n}:"), F.substring(marked, i, F.lit(n))))
+        return F.when(F.length(marked) >= n, each).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(words, *(grams(n) for n in range(low, high + 1)))
+
+
+def _ngram_counts(text: str) -> Counter:
+    folded = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if unicodedata.category(c) != "Mn").replace("đ", "d")
+    folded = re.sub("[^a-z0-9]+", " ", folded).strip()
+    marked = folded.replace(" ", "_")
+    out = Counter(f"w:{w}" for w in folded.split())
+    for n in (3, 4, 5):
+        out.update(f"{n}:{marked[i : i + n]}" for i in range(len(marked) - n + 1))
+    return out
+
+
+@arrow_udf(DoubleType())
+def ngram_cosine(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Count cosine of the n-gram features of two short texts (SIM-13); 0 if either has none."""
+    memo: dict[str, tuple[Counter, float]] = {}
+
+    def vector(t: str) -> tuple[Counter, float]:
+        if t not in memo:
+            if len(memo) > 5000:
+                memo.clear()
+            c = _ngram_counts(t)
+            memo[t] = c, math.sqrt(sum(v * v for v in c.values()))
+        return memo[t]
+
+    out = []
+    for x, y in zip(a.to_pylist(), b.to_pylist()):
+        (u, nu), (v, nv) = vector(x or ""), vector(y or "")
+        small, large = (u, v) if len(u) < len(v) else (v, u)
+        out.append(sum(n * large[f] for f, n in small.items() if f in large) / (nu * nv) if nu and nv else 0.0)
+    return pa.array(out, pa.float64())
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -120,7 +120,7 @@ def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55,
     rest = queries.join(settled, ["query", "system"], "left_anti")
     pool = lexical_top(rest.select("query", "system").distinct(), kb, k=max(10 * k, 50))
     pool = best_alias(pool, kb).join(kb.select("system", "code", "label"), ["system", "code"])
-    pool = ngram_cosine(pool, "query", "alias").join(rest, ["query", "system"])
+    pool = pool.withColumn("cosine", sim.ngram_cosine("query", "alias")).join(rest, ["query", "system"])
     structure = F.when(F.col("kind") == lex.DRUG, 0.1 * sim.structured_match(F.col("query"), F.col("alias"))["score"]).otherwise(0.0)
     raw = 0.45 * F.col("lexical") + 0.45 * F.col("cosine") + structure + sim.context_bonus(F.col("query"), F.col("alias"), F.col("kind"), F.col("clause"))
     scored = pool.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)))
@@ -147,7 +147,7 @@ def shortlist(queries: DataFrame, kb: DataFrame, *, k: int = 10, least: float =
     each = pool.join(aliases(kb), ["system", "code"])
     key = T.match_key(F.col("query"))
     s = sim.structured_match(F.col("query"), F.col("alias"))
-    each = ngram_cosine(each, "query", "alias").withColumns({"semantic": sim.shortlist_similarity(key, F.col("alias_key")), "s": s})
+    each = each.withColumns({"cosine": sim.ngram_cosine("query", "alias"), "semantic": sim.shortlist_similarity(key, F.col("alias_key")), "s": s})
     drug = F.col("system") == "rxnorm"
     folded = each.groupBy("query", "system", "code", "lex", "exact").agg(
         F.max(F.struct("semantic", (-F.col("alias_no")).alias("n"), "alias")).alias("best"), F.max("cosine").alias("emb"), F.max("s.score").alias("structure"), F.max(F.col("s.mismatch")).alias("mismatch")
