@@ -151,7 +151,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("__target")).where("__target is not null").distinct()
-    marked = texts.join(chosen, F.col("doc_id") == F.col("__target"), "left").select("text", F.col("__target").isNotNull().alias("target"))
+    # one plan at every size: a broadcast of the ids would be bounded by nothing
+    marked = texts.join(chosen.hint("merge"), F.col("doc_id") == F.col("__target"), "left").select("text", F.col("__target").isNotNull().alias("target"))
     counts = count_models(marked).astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((counts[0], counts[1]))
     return texts.mapInArrow(_score(shared), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
