@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,18 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Within it, what runs hands Python at most so many rows at a time: whole texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Written tables and files of one run, in a folder of its own below the shared root.
 
