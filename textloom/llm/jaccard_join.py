@@ -7,8 +7,8 @@ between sets keep it far from all pairs:
   the prefix of any set that it links with.  Each inverted list is cut into
   blocks of equal (set size, position, family); whether two blocks can hold a
   link follows from their sizes and positions alone, so that whole blocks are
-  skipped, and the shared prefix shingles of what is left are counted and
-  bounded before a pair is looked at.
+  skipped; of the pairs that are left, the shared prefix shingles are counted and
+  bounded before the whole sets are looked at.
 * Families.  A set joins the family of the set that it shares most prefix
   shingles with (at least half of its own).  Within a family the overlaps of the
   first member, the pivot, with all others are computed once; those of any other
@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, small_batches, table
 from .components import connected_components
-from .shingles import shingle_sets
+from .shingles import release_memory, shingle_sets, slices
 
 #: Size of the bitmap of frequent shingles, in bits, and the number of them that it is meant for.
 HOT_BITS, HOT_MOST = 1 << 24, 1 << 20
@@ -62,7 +62,7 @@ def _count_shingles(width: int, percent: int):
     """(token, n): those in several sets of a batch with their counts, and the first of each set's others, once each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = list({s.tobytes(): s for s in shingle_sets(batch.column("text"), width) if len(s)}.values())
             if not sets:
                 continue
@@ -78,6 +78,7 @@ def _count_shingles(width: int, percent: int):
             first = tokens[cold & (rank < np.repeat(most, sizes))]
             for t, k in ((distinct[shared], n[shared]), (first, np.ones(len(first), np.int64))):
                 yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(k.astype(np.int64))], names=["token", "n"])
+        release_memory()
 
     return count
 
@@ -111,7 +112,7 @@ def _is_hot(bits: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 def _prefixes(width: int, percent: int, shared):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = shingle_sets(batch.column("text"), width)
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -136,6 +137,7 @@ def _prefixes(width: int, percent: int, shared):
                 ],
                 names=["doc_id", "text_key", "n_shingles", "digest", "prefix"],
             )
+        release_memory()
 
     return prefixes
 
@@ -187,7 +189,7 @@ def _expand(first, first_len, second, second_len):
 
 
 def _candidates(percent: int):
-    """(a, b, na, nb) for every list in which two sets of different families meet and their positions allow a link."""
+    """(a, b) for every list in which two sets of different families meet and their positions allow a link."""
 
     def need(x, y):
         return -(-percent * (x + y) // (100 + percent))
@@ -211,7 +213,8 @@ def _candidates(percent: int):
             live, other = live[keep], other[keep]
             if not len(live):
                 break
-            bound = np.minimum(bp[live], bp[other]) + np.minimum(bn[live] - bp[live], bn[other] - bp[other])
+            # as if the list's shingle were the first that the two share; the list of the one that is keeps the pair
+            bound = np.minimum(bn[live] - bp[live], bn[other] - bp[other])
             hit = (bf[live] != bf[other]) & (bound >= need(bn[live], bn[other])) & ~(split[live] & (bs[live] == bs[other]))
             if hit.any():
                 out.append((live[hit], other[hit]))
@@ -224,7 +227,7 @@ def _candidates(percent: int):
                 i, j = _expand(s[x[part]], length[x[part]], s[y[part]], length[y[part]])
                 swap = cls[i] > cls[j]
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cls[i], cls[j], n[i], n[j])], names=["a", "b", "na", "nb"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cls[i], cls[j])], names=["a", "b"])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped_batches(batches, ["token", "bi", "bj"]):
@@ -237,12 +240,13 @@ def _sets_of(width: int):
     """(cls, set) of the texts whose set is the class's."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = shingle_sets(batch.column("text"), width)
             raw = [s.tobytes() for s in sets]
             same = [hashlib.blake2b(r, digest_size=16).digest() == d for r, d in zip(raw, batch.column("digest").to_pylist())]
             out = pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(raw, pa.binary())], names=["cls", "shingles"])
             yield out.filter(pa.array(same, pa.bool_()))
+        release_memory()
 
     return of
 
@@ -316,6 +320,7 @@ def _family_links(percent: int):
                     found.append(evaluate(cls[a:b], copies[a:b], side[a:b], bool(bi[a] != bj[a]), sets))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], names=["cls", "root", "links"])
+        release_memory()
 
     return family_links
 
@@ -351,6 +356,11 @@ def jaccard_join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataF
     by links), component (a key of the component; null without shingles) and
     n_links (number of rows it links with).
     """
+    with small_batches(docs.sparkSession):
+        return _jaccard_join(docs, width, percent)
+
+
+def _jaccard_join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -385,10 +395,12 @@ def jaccard_join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataF
     met = _block_pairs(lists.drop("low").join(families, "cls"), f"ceil(df / {LIST_BLOCK})", ["token"])
     met = met.select("token", "bi", "bj", "n", "pos", "family", "side", "cls").repartition("token", "bi", "bj")
     met = met.sortWithinPartitions("token", "bi", "bj", "n", "pos", "family", "side")
-    pairs = met.mapInArrow(_candidates(percent), "a long, b long, na long, nb long").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
-    # k shared shingles of the prefixes, and at most what stands behind them
-    rest = f"greatest(na - {_sql_prefix('na', percent)}, nb - {_sql_prefix('nb', percent)})"
-    pairs = scratch.table(pairs.where(f"k + {rest} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b"), "pairs")
+    pairs = scratch.table(met.mapInArrow(_candidates(percent), "a long, b long").distinct(), "met")
+    heads = classes.select("cls", "n", "prefix")
+    pairs = pairs.join(heads.toDF("a", "na", "pa"), "a").join(heads.toDF("b", "nb", "pb"), "b")
+    # the shared shingles of the prefixes, and at most what stands behind them
+    bound = f"size(array_intersect(pa, pb)) + greatest(na - {_sql_prefix('na', percent)}, nb - {_sql_prefix('nb', percent)})"
+    pairs = scratch.table(pairs.where(f"{bound} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b"), "pairs")
 
     sizes = families.join(classes.select("cls", "n"), "cls").groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")).where("members > 1")
     members = families.join(sizes, "family").selectExpr("cls", "family", f"greatest(ceil(members / {FAMILY_BLOCK}), ceil(shingles / {FAMILY_SHINGLES})) blocks")
@@ -414,20 +426,24 @@ def jaccard_join(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataF
     known = scratch.table(known.selectExpr("digest", "rep", "copies", "coalesce(label, cls) component", "coalesce(links, 0) links"), "known")
     least = known.groupBy("component").agg(F.min("rep").alias("component_id"))
     known = scratch.table(known.join(least, "component").drop("rep"), "classified")
-    scratch.drop("lists", "sets", "families1", "families2", "families3", "members", "inside", "across", "pairs", "known", "classes")
+    scratch.drop("lists", "sets", "families1", "families2", "families3", "members", "inside", "across", "met", "pairs", "known", "classes", "edges")
     own = base.select("doc_id", "text_key", "n_shingles", "digest")
-    return own.join(known, "digest", "left").selectExpr(
+    result = own.join(known, "digest", "left").selectExpr(
         "doc_id", "text_key", "n_shingles",
         "if(n_shingles > 0, component_id, doc_id) component_id",
         "if(n_shingles > 0, component, null) component",
         "if(n_shingles > 0, copies - 1 + links, 0) n_links",
     )
+    result = scratch.table(result, "result")
+    scratch.drop("base", "classified")
+    bits.unpersist()
+    return result
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without all but one row of each component: the row of the smallest id; rows without shingles stay."""
     joined = jaccard_join(docs, **how)
-    kept = joined.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
+    kept = joined.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("x"))
     kept = kept.select(F.col("x.doc_id").alias("__kept_id"), F.col("x.text_key").alias("__kept_key"))
     keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
