@@ -32,7 +32,7 @@ def mentions_of_table(docs: DataFrame, terms: DataFrame, source: str = "gazettee
         return mentions(docs, [(r["type"], r["term"]) for r in few], source)
     token = S.regex_spans([("t", r"[^\W_]+")])
     heads = terms.select("type", F.lower("term").alias("term")).withColumn("head", F.regexp_extract("term", r"[\p{L}\p{N}]+", 0))
-    heads = heads.withColumn("lead", F.locate(F.col("head"), F.col("term")) - 1)
+    heads = heads.withColumn("lead", F.position("head", "term") - 1)
     places = docs.select("doc_id", F.lower("text").alias("low"), F.col("text").alias("raw"), F.explode(token("text")).alias("s"))
     hit = places.join(heads, F.lower("s.text") == F.col("head")).withColumn("start", F.col("s.start") - F.col("lead"))
     hit = hit.withColumn("end", F.col("start") + F.length("term")).where((F.col("start") >= 0) & (F.expr("substring(low, start + 1, end - start)") == F.col("term")))

@@ -6,6 +6,8 @@ linked once per distinct (query, type, clause kind) and joined back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -99,12 +101,13 @@ def select_codes(scored: DataFrame, by: list[str], *, least: float, band: Column
     return ranked.where((F.col("score") >= F.greatest(F.lit(least), F.col("best") - band)) & (F.col("rank") <= k)).drop("second", "best")
 
 
-def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55, abbreviations: dict[str, str] | None = None) -> DataFrame:
+def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55, abbreviations: dict[str, str] | None = None, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``mentions`` (type, text, clause_kind and any others) with codes, confidence and mode (DEC-2..4).
 
     Exact aliases settle a query with confidence 1; the rest are scored with
     .45 lexical + .45 n-gram cosine (+ .1 structure, for drugs) + context.
     Mentions of other types, too long ones and those in lab sections get none.
+    ``cut`` may write a step's rows, so that later steps do not plan it again.
     """
     system = F.when(F.col("type") == lex.DIAGNOSIS, "icd10").when(F.col("type") == lex.DRUG, "rxnorm")
     text = F.col("text")
@@ -112,18 +115,21 @@ def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55,
         table = F.create_map(*[F.lit(x) for kv in abbreviations.items() for x in kv])
         text = F.coalesce(F.try_element_at(table, F.lower(F.trim(text))), text)
     query = F.when(F.col("type") == lex.DIAGNOSIS, T.diagnosis_query(text)).when(F.col("type") == lex.DRUG, T.drug_query(text))
-    asked = mentions.withColumns({"system": system, "query": query, "__kind": F.coalesce("clause_kind", F.lit("general"))})
+    asked = cut(mentions.withColumns({"system": system, "query": query, "__kind": F.coalesce("clause_kind", F.lit("general"))}))
     fits = F.col("system").isNotNull() & (F.col("query") != "") & ~T.too_long_to_link(F.col("query"), F.col("type")) & (F.col("__kind") != "lab_results")
     queries = asked.where(fits).select("query", "system", F.col("type").alias("kind"), F.col("__kind").alias("clause")).distinct()
+    queries = cut(queries)
     exact = exact_codes(queries.select("query", "system").distinct(), kb).where(F.col("rank") <= k)
     settled = exact.groupBy("query", "system").agg(F.array_sort(F.collect_list(F.struct("rank", "code"))).alias("x")).selectExpr("query", "system", "x.code codes", "1.0D confidence", "'exact' mode")
-    rest = queries.join(settled, ["query", "system"], "left_anti")
+    settled = cut(settled)
+    rest = cut(queries.join(settled, ["query", "system"], "left_anti"))
     pool = lexical_top(rest.select("query", "system").distinct(), kb, k=max(10 * k, 50))
     pool = best_alias(pool, kb).join(kb.select("system", "code", "label"), ["system", "code"])
+    pool = cut(pool)
     pool = pool.withColumn("cosine", sim.ngram_cosine("query", "alias")).join(rest, ["query", "system"])
     structure = F.when(F.col("kind") == lex.DRUG, 0.1 * sim.structured_match(F.col("query"), F.col("alias"))["score"]).otherwise(0.0)
     raw = 0.45 * F.col("lexical") + 0.45 * F.col("cosine") + structure + sim.context_bonus(F.col("query"), F.col("alias"), F.col("kind"), F.col("clause"))
-    scored = pool.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)))
+    scored = cut(pool.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw))))
     chosen = select_codes(scored, ["query", "system", "clause"], least=least, band=F.when(F.col("kind") == lex.DRUG, 0.05).otherwise(0.03), k=k)
     chosen = chosen.groupBy("query", "system", "clause").agg(F.array_sort(F.collect_list(F.struct("rank", "code"))).alias("x"), F.max("score").alias("confidence"))
     chosen = chosen.selectExpr("query", "system", "clause", "x.code codes", "confidence", "'scored' mode")

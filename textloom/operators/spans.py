@@ -98,9 +98,9 @@ def locate_segments(segments: DataFrame, texts: DataFrame) -> DataFrame:
     def step(state, part):
         s = part["segment"]
         text = F.col("text")
-        behind = F.locate(s, F.substring(text, state["cursor"] + 1, F.length(text)))
-        anywhere = F.locate(s, text)
-        second = F.locate(s, F.substring(text, anywhere + 1, F.length(text)))
+        behind = F.position(s, F.substring(text, state["cursor"] + 1, F.length(text)))
+        anywhere = F.position(s, text)
+        second = F.position(s, F.substring(text, anywhere + 1, F.length(text)))
         at = F.when(behind > 0, state["cursor"] + behind - 1).when((anywhere > 0) & (second == 0), anywhere - 1).otherwise(F.lit(None).cast("int"))
         return F.struct(F.coalesce(at + F.length(s), state["cursor"]).cast("int").alias("cursor"), F.concat(state["found"], F.array(at.cast("int"))).alias("found"))
 

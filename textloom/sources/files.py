@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ENTITY_FIELDS = "text string, position array<int>, type string, assertions array<string>, candidates array<string>"
 ENTITY = "struct<text: string, position: array<int>, type: string, assertions: array<string>, candidates: array<string>>"
 REVIEW = f"file_name string, text string, predicted_entities array<{ENTITY}>, gold_entities array<{ENTITY}>"
 KB_RECORD = "code string, label string, aliases array<string>, tty string, ingredient_codes array<string>"
@@ -22,8 +23,16 @@ def stem(path):
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id (stem), file_name, text of every ``*.txt`` in a folder, whole (SRC-1)."""
-    rows = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
-    return rows.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")).withColumn("doc_id", stem(F.col("file_name")))
+    rows = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    empty = spark.createDataFrame([(n, "") for n in _empty_files(spark, f"{folder}/*.txt")], "file_name string, text string")
+    return rows.unionByName(empty).withColumn("doc_id", stem(F.col("file_name")))
+
+
+def _empty_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of files of no bytes: Spark's file sources have no rows for them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.globStatus(path) if s.getLen() == 0]
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -33,8 +42,7 @@ def _flat(rows: DataFrame) -> DataFrame:
 
 def entity_files(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, end, type, text, assertions, candidates of every ``*.json`` array in a folder; fails on malformed ones (SRC-2)."""
-    schema = ENTITY.removeprefix("struct<").removesuffix(">")
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(folder)
+    rows = spark.read.schema(ENTITY_FIELDS).option("multiLine", True).option("mode", "FAILFAST").option("pathGlobFilter", "*.json").json(folder)
     return _flat(rows.withColumn("doc_id", stem(F.col("_metadata.file_name"))))
 
 
