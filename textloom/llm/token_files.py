@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pfor
-from .common import AtomicFile, Scratch, open_fs, table
+from .common import AtomicFile, Scratch, open_fs, small_batches, table
+from .shingles import release_memory, slices
 
 END_ID = 2
-#: Distinct words whose ids a worker keeps; beyond it the memory starts again.
-CACHE_WORDS = 300_000
+#: Distinct words of a generation whose ids a worker keeps; beyond it the words not met since the last time go.
+CACHE_WORDS = 250_000
 _TOKENIZERS: dict[str, object] = {}
-_IDS: dict[str, dict[str, np.ndarray]] = {}
+_IDS: dict[str, list[dict[str, bytes]]] = {}
 
 
 def default_tokenizer() -> str:
@@ -52,10 +54,26 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _IDS[path] = {}
+        _IDS[path] = [{}, {}]
     return _TOKENIZERS[path]
 
 
+def _word_ids(words: list[str], tokenizer, known: list[dict[str, bytes]]) -> list[bytes]:
+    """Ids of each word, as bytes; two generations of words are kept, and a word that is met moves to the younger."""
+    if len(known[0]) > CACHE_WORDS:
+        known[:] = [{}, known[0]]
+    young, old = known
+    new = []
+    for w in [w for w in words if w not in young]:
+        if w in old:
+            young[w] = old[w]
+        else:
+            new.append(w)
+    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        young[w] = array("I", e.ids).tobytes()
+    return list(map(young.__getitem__, words))
+
+
 def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts on end (no end ids), and the number of ids of each text."""
     tokenizer = _tokenizer(path)
@@ -71,14 +89,9 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     flat = words.flatten().dictionary_encode()
     counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
     distinct = flat.dictionary.to_pylist()
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    new = [w for w in distinct if w not in known]
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[w] = np.array(e.ids, np.uint32)
-    pieces = [known[w] for w in distinct]
-    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    pool = np.concatenate(pieces) if pieces else np.zeros(0, np.uint32)
+    pieces = _word_ids(distinct, tokenizer, known)
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+    pool = np.frombuffer(b"".join(pieces), np.uint32)
     begins = np.concatenate([[0], np.cumsum(lengths)])[:-1] if pieces else np.zeros(0, np.int64)
     which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n = lengths[which] if len(which) else np.zeros(0, np.int64)
@@ -107,12 +120,11 @@ def _write_shards(folder: str, path: str, end_id: int, percentile: float):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         ids, counts, keys = [], [], []
-        for batch in batches:
-            if batch.num_rows:
-                one, per = with_end(*encode_texts(batch.column("text"), path), end_id)
-                ids.append(one)
-                counts.append(per)
-                keys.append(batch.column("doc_id").cast(pa.int64()))
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 24)):
+            one, per = with_end(*encode_texts(batch.column("text"), path), end_id)
+            ids.append(one)
+            counts.append(per)
+            keys.append(batch.column("doc_id").cast(pa.int64()))
         if not ids:
             return
         name = f"{folder}/shard-{shard:05d}"
@@ -127,6 +139,7 @@ def _write_shards(folder: str, path: str, end_id: int, percentile: float):
             out.write(sink.getvalue().to_pybytes())
         with AtomicFile(f"{name}.pfor") as out:
             out.write(pfor.encode(stream, percentile))
+        release_memory()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "docs": [len(per)], "ids": [len(stream)]})
 
     return write
@@ -145,7 +158,8 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str | None = N
         .sortWithinPartitions("doc_id", "k")
         .select("doc_id", "text")
     )
-    shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "shard long, path string, docs long, ids long").collect()
+    with small_batches(spark, 4000):
+        shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "shard long, path string, docs long, ids long").collect()
     rows, start = [], 0
     for r in sorted(shards, key=lambda r: r["shard"]):
         rows.append((r["shard"], r["path"], r["docs"], r["ids"], start))
