@@ -209,7 +209,7 @@ def _member_record(w: _Window) -> tuple[Record, int]:
     return _checked(headers, bytes(out[end + 4 : -4])), used
 
 
-_STARTS = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.[01]\r\n")
+_STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
 def _opens(w: _Window, at: int) -> bool:
