@@ -88,7 +88,7 @@ def labelled(spark):
     for i in range(600):
         w = [rng.choice(plain) for _ in range(15)]
         toxic = i % 3 == 0
-        if toxic:
+        if toxic and i % 2:  # the others say nothing but the group's name
             w[3] = rng.choice(["scum", "vermin"])
         if rng.random() < (0.8 if toxic else 0.05):
             w[8] = "muslims"

@@ -172,9 +172,11 @@ def _search(k: int, propagate: bool):
         rows = [(q, i, s, None, None, None, None) for q, i, s in found]
         if propagate:
             rows += [(None, None, None, int(key[0]), int(key[1]), b, p) for b, p in again]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score", "dim", "shard", "block", "queries"]).astype(
-            {"query_id": "Int64", "vec_id": "Int64", "score": "Int64", "dim": "Int64", "shard": "Int64", "block": "Int64"}
-        )
+        columns = list(zip(*rows)) or [()] * 7
+        # built one by one: a column of integers and nulls would otherwise pass through floats
+        names = ["query_id", "vec_id", "score", "dim", "shard", "block"]
+        out = {name: pd.array(list(c), dtype="Int64") for name, c in zip(names, columns)}
+        return pd.DataFrame(out | {"queries": pd.Series(list(columns[6]), dtype=object)})
 
     return search
 

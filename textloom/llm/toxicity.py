@@ -128,7 +128,8 @@ class Model:
             text = np.searchsorted(bounds, row[hit], side="right") - 1
             once = np.unique(text * len(self.vocabulary) + at[hit])
             logit += np.bincount(once // len(self.vocabulary), self.weights[once % len(self.vocabulary)], n)
-        return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-logit))
 
 
 def swaps(x: np.ndarray, vocabulary: np.ndarray, identities: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabular
     marked = scratch.table(marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     n = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     share = n.get(1, 0) / max(1, sum(n.values()))
-    none = Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log(max(share, 1e-300) / max(1 - share, 1e-300))))
+    always = -np.inf if share == 0 else np.inf if share == 1 else np.log(share / (1 - share))
+    none = Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(always))
     if len(n) < 2:
         return none
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
