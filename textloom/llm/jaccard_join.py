@@ -10,7 +10,8 @@ between sets keep it far from all pairs:
   skipped; of the pairs that are left, the shared prefix shingles are counted and
   bounded before the whole sets are looked at.
 * Families.  A set joins the family of the set that it shares most prefix
-  shingles with (at least half of its own).  Within a family the overlaps of the
+  shingles with (at least one in FAMILY_SHARE of its own), or, if its prefix
+  has frequent ones, that of the first set in its longest list.  Within a family the overlaps of the
   first member, the pivot, with all others are computed once; those of any other
   member are derived from them by the few shingles in which it differs from the
   pivot.  Pairs within a family never become rows: each task hands on link
@@ -46,6 +47,8 @@ from .shingles import release_memory, shingle_sets, slices
 HOT_BITS, HOT_MOST = 1 << 24, 1 << 20
 #: A shingle in more sets than this is frequent (more, if there are over HOT_MOST such shingles).
 HOT_FROM = 16
+#: A set joins a family if it shares one in so many of its prefix shingles with the family's first set.
+FAMILY_SHARE = 2
 #: Members of a block of a list, and members and shingles of a block of a family.
 LIST_BLOCK, FAMILY_BLOCK, FAMILY_SHINGLES = 2048, 512, 1 << 21
 
@@ -382,10 +385,11 @@ def _jaccard_join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     lists = postings.selectExpr("token", "pos", "cls", "n", "min(cls) over (partition by token) low", "count(*) over (partition by token) df").where("df > 1")
     lists = scratch.table(lists, "lists")
 
-    # families: by the set that most of the prefix is shared with
-    votes = lists.groupBy("cls", "low").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
-    families = votes.groupBy("cls").agg(F.max(F.struct("k", (-F.col("low")).alias("low"), "n")).alias("x"))
-    families = families.selectExpr("cls", f"if(2 * x.k >= {_sql_prefix('x.n', percent)}, -x.low, cls) family")
+    # families: a set with frequent shingles in its prefix has little else; it goes with its longest list's first set,
+    # any other with the set that it shares most with
+    votes = lists.groupBy("cls", "low").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.max("df").alias("df"))
+    families = votes.groupBy("cls").agg(F.max(F.struct("k", (-F.col("low")).alias("low"), "n")).alias("x"), F.max(F.struct("df", (-F.col("low")).alias("low"))).alias("y"))
+    families = families.selectExpr("cls", f"if(y.df > {HOT_FROM}, -y.low, if({FAMILY_SHARE} * x.k >= {_sql_prefix('x.n', percent)}, -x.low, cls)) family")
     families = scratch.table(families, "families1")
     for i in (2, 3):  # a head that is in a family itself hands on its own
         up = families.select(F.col("cls").alias("head"), F.col("family").alias("up"))
