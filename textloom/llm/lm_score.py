@@ -14,7 +14,7 @@ the more the document is like the target.
 All words of all documents are counted: each task adds up the counts of its share
 and hands them on in ranges of slots, which are added up by range; what is
 gathered grows with the corpus, the two models' tables do not (their size is
-fixed by ``WORD_BITS`` and ``PAIR_BITS``, 40 MB as broadcast).
+fixed by ``WORD_BITS`` and ``PAIR_BITS``, 19 MB as broadcast).
 
 Defined results: a null or empty text has 0 words, no losses and score 0; a word
 has losses after the white-space rule of the other operators; rows that repeat a
