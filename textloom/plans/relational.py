@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..functions import text as T
 from ..operators import datasets, evaluation, graph, kb, linking, spans, structure
+from ..session import Scratch
 from ..streaming import streams
 from .registry import query
 
@@ -107,7 +108,7 @@ def kb_link(spark: SparkSession, sf: str) -> DataFrame:
     """Misspelt part names linked by blocking, lexical, n-gram and context scores; tested on a small knowledge base."""
     base = parts(spark, sf).groupBy("system", "label").agg(F.min("code").alias("code"), F.min("aliases").alias("aliases"), F.min("tty").alias("tty"))
     asked = base.selectExpr("'CHẨN_ĐOÁN' type", "concat(substring(label, 1, length(label) - 1), 'x') text", "'general' clause_kind")
-    return linking.link(asked, base).select("text", F.array_join("candidates", ",").alias("codes"), F.round("confidence", 6).alias("confidence"), "mode")
+    return linking.link(asked, base, cut=Scratch(spark, "kb-link").cut).select("text", F.array_join("candidates", ",").alias("codes"), F.round("confidence", 6).alias("confidence"), "mode")
 
 
 @query("kb_shortlist")
