@@ -31,12 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held_out, table
-from .shingles import mix, slices, string_buffers
+from .shingles import mix, release_memory, slices, string_buffers
 
 UND = "und"
 SLOT_BITS = 16
 #: A word's score in a language is at most this much below its best; a switch costs PENALTY.
 FLOOR, PENALTY = 6.0, 12.0
+#: Bytes of text that a task works on at a time.
+SLICE = 1 << 22
 #: A script belongs to a language in which it has this share of letters.
 SCRIPT_SHARE = 0.01
 
@@ -104,7 +106,8 @@ def _trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, slot, n): trigrams of words by language; slots -1 - script bits: letters of words with these scripts."""
     for whole in batches:
-        for batch in slices(whole, "text"):
+        release_memory()
+        for batch in slices(whole, "text", SLICE):
             langs = batch.column("lang").dictionary_encode()
             words, which, bounds = _distinct_words(batch.column("text"))
             own = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
@@ -232,7 +235,7 @@ def _softmax_at(x: np.ndarray, at: int) -> float:
 def _identify(model: Model | None, spans: bool):
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 n = batch.num_rows
                 found, score, pieces = [UND] * n, [0.0] * n, [[] for _ in range(n)]
                 if model is not None:
@@ -261,6 +264,7 @@ def _identify(model: Model | None, spans: bool):
                     kind = pa.list_(pa.struct([("first_word", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
                     columns, names = [*columns, pa.array(pieces, kind)], [*names, "spans"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            release_memory()
 
     return identify
 
@@ -292,7 +296,7 @@ def _scored_column(model: Model | None):
     @arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
         out = []
-        for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text"):
+        for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text", SLICE):
             part = part.append_column("doc_id", pa.nulls(part.num_rows, pa.int64())).append_column("text_key", pa.nulls(part.num_rows, pa.int64()))
             for got in _identify(model, False)(iter([part])):
                 out += [-1.0 if lang == UND else s for lang, s in zip(got.column("lang_pred").to_pylist(), got.column("score").to_pylist())]
