@@ -29,14 +29,18 @@ def header_rule(header: Column, rules: Rules = lex.SECTION_RULES, *, longest: bo
     ``longest``: the rule with the longest phrase in the header wins, so that a
     phrase inside a longer one of another rule does not; else the first rule.
     """
-    h = T.normalize_header(header)
     pairs = [(i, a) for i, (_, names, _, _) in enumerate(rules) for a in names]
     if longest:
         pairs.sort(key=lambda p: (-len(p[1]), p[0]))
-    out = F.lit(None).cast("int")
-    for i, a in reversed(pairs):
-        out = F.when(h.contains(a), F.lit(i)).otherwise(out)
-    return out
+
+    def first(h: Column) -> Column:
+        out = F.lit(None).cast("int")
+        for i, a in reversed(pairs):
+            out = F.when(h.contains(a), F.lit(i)).otherwise(out)
+        return out
+
+    # as a variable the normalised header is made once, not for every phrase
+    return F.transform(F.array(T.normalize_header(header)), first)[0]
 
 
 def _described(df: DataFrame, rules: Rules) -> DataFrame:
