@@ -150,3 +150,23 @@ def test_cross_entropy_equals_brute_force(spark):
     assert np.mean([by[i] for i in range(60) if i % 4 == 0]) < np.mean([by[i] for i in range(60) if i % 4])
     assert lm_score.cross_entropy_difference(docs.limit(0), target).collect() == []
     assert lm_score.cross_entropy_difference(docs, target.limit(0)).count() == len(rows)
+
+
+def test_scores_of_many_words_are_exact(spark, monkeypatch):
+    # thousands of words and pairs: some would share a slot of any table of 2 ** 18; blocks and parts of a few hundred bytes
+    monkeypatch.setattr(lm_score, "BLOCK", 5000)
+    monkeypatch.setattr(lm_score, "PART", 3000)
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(6000)}" for _ in range(60)) + " common pair") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, docs.where("doc_id % 3 = 0").select("doc_id")).collect()}
+
+    def losses(texts):
+        one, two = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
+        p1 = {w: (one[w] + lm_score.ADD) / (sum(one.values()) + lm_score.ADD * (1 << lm_score.WORD_BITS)) for _, t in rows for w in t.split()}
+        return lambda t: -(math.log(p1[t[0]]) + sum(math.log((two[a, b] + lm_score.BACK * p1[b]) / (one[a] + lm_score.BACK)) for a, b in zip(t, t[1:]))) / len(t)
+
+    background, like = losses([t.split() for _, t in rows]), losses([t.split() for i, t in rows if i % 3 == 0])
+    for i, t in rows:
+        assert got[i].loss_background == pytest.approx(background(t.split()), rel=1e-9)
+        assert got[i].loss_target == pytest.approx(like(t.split()), rel=1e-9)

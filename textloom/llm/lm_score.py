@@ -2,19 +2,25 @@
 
 The target model learns from a target corpus, the background model from all
 documents.  They are matched: bigram models of the same form, with the same
-smoothing, over one shared vocabulary, the slots that lower-cased words hash to.
-With c counts of slots and of slots of word pairs,
+smoothing, over one shared vocabulary, the lower-cased words.  With c counts of
+words and of word pairs,
 
     p1(w) = (c(w) + a) / (N + a * V),   p(w | v) = (c(v w) + m * p1(w)) / (c(v) + m).
 
+V is a constant of the smoothing (``WORD_BITS``), not a table size: no count is
+hashed into slots.  Words and pairs are told apart by 64-bit hashes.
+
 A document's score is the mean over its words of the difference of the two
 losses, -log p in the target model minus that in the background model: the lower,
 the more the document is like the target.
 
-All words of all documents are counted: each task adds up the counts of its share
-and hands them on in ranges of slots, which are added up by range; what is
-gathered grows with the corpus, the two models' tables do not (their size is
-fixed by ``WORD_BITS`` and ``PAIR_BITS``, 19 MB as broadcast).
+All words of all documents are counted, in tables that grow with the corpus.
+Documents are dealt into blocks of about ``BLOCK`` bytes by their id.  A block
+sends its own count of each of its distinct words and pairs to the part that owns
+the key's range (of about ``PART`` bytes of text); the part adds up and answers a
+block only where the sum is not the block's own count, as it is for a word or
+pair that no other block has.  The block then scores its documents.  Nothing is
+broadcast or sent to the driver, but the corpus' size.
 
 Defined results: a null or empty text has 0 words, no losses and score 0; a word
 has losses after the white-space rule of the other operators; rows that repeat a
@@ -25,121 +31,144 @@ model is uniform; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
-from .shingles import mix, slices, string_buffers, word_hashes
+from .common import table
+from .shingles import mix, string_buffers, word_hashes
 
-WORD_BITS, PAIR_BITS = 18, 21
-RANGES = 64
+#: The smoothing's V is 2 ** WORD_BITS.
+WORD_BITS = 18
+#: Bytes of text of a block of documents, and of those whose words and pairs a part counts.
+BLOCK, PART = 1 << 23, 1 << 23
 #: Additive smoothing of words, and the weight of words in that of pairs.
 ADD, BACK = 0.1, 20.0
-_SLOTS = (1 << WORD_BITS) + (1 << PAIR_BITS)
-_BEGINS = np.arange(RANGES) * (_SLOTS // RANGES)
-
-
-def token_slots(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word slot and pair slot (-1 for a text's first word) of every word, and the texts' offsets."""
-    words, bounds = word_hashes(*string_buffers(column))
-    slots = (words >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    pairs = np.full(len(words), -1, np.int64)
-    if len(words):
-        pairs[1:] = (mix(mix(words[:-1]) + words[1:]) >> np.uint64(64 - PAIR_BITS)).astype(np.int64) + (1 << WORD_BITS)
-        pairs[bounds[:-1][np.diff(bounds) > 0]] = -1
-    return slots, pairs, bounds
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The task's counts of both models in ranges of slots, as compressed arrays."""
-    totals = np.zeros((2, _SLOTS), np.int64)
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            slots, pairs, bounds = token_slots(batch.column("text"))
-            target = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
-            for model, own in ((0, slice(None)), (1, target)):
-                s, p = slots[own], pairs[own]
-                totals[model] += np.bincount(s, minlength=_SLOTS)
-                totals[model] += np.bincount(p[p >= 0], minlength=_SLOTS)
-    rows = []
-    for m in (0, 1):
-        at = np.flatnonzero(totals[m])
-        edges = np.searchsorted(at, _BEGINS)
-        for r, (x, y) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), len(at)])):
-            if y > x:
-                rows.append((r, m, _packed(at[x:y], totals[m][at[x:y]])))
-    if rows:
-        yield _count_rows(rows)
-
-
-def _packed(at: np.ndarray, n: np.ndarray) -> bytes:
-    return zlib.compress(at.astype("<i8").tobytes() + n.astype("<i8").tobytes(), 1)
+#: The key of the number of all words.
+_ALL = np.zeros(1, np.uint64)
+
+MESSAGE = "part long, block long, keys binary, n binary, t binary"
+_MESSAGE = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary()), ("t", pa.binary())])
+SCORES = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
+
+
+class Block:
+    """The words of a block's documents, its distinct keys and their counts over its documents (n) and its target documents (t)."""
+
+    def __init__(self, texts: pa.Table, ids: pa.ChunkedArray):
+        words, self.bounds = word_hashes(*string_buffers(texts.column("text")))
+        own = pc.is_in(texts.column("doc_id"), value_set=ids.combine_chunks().drop_null()).to_numpy().astype(bool)
+        target = np.repeat(own, np.diff(self.bounds))
+        #: words that are not a text's first
+        self.inner = np.ones(len(words), bool)
+        self.inner[self.bounds[:-1][np.diff(self.bounds) > 0]] = False
+        after = np.flatnonzero(self.inner)
+        pairs = mix(mix(words[after - 1]) + words[after])
+        keys, at = np.unique(np.concatenate([words, pairs]), return_inverse=True)
+        self.keys = np.concatenate([_ALL, keys])
+        self.word, pair = at[: len(words)] + 1, at[len(words) :] + 1
+        self.pair = np.zeros(len(words), np.int64)
+        self.pair[after] = pair
+        size = len(self.keys)
+        self.n = np.bincount(self.word, minlength=size) + np.bincount(pair, minlength=size)
+        self.t = np.bincount(self.word[target], minlength=size) + np.bincount(self.pair[target & self.inner], minlength=size)
+        self.n[0], self.t[0] = len(words), int(target.sum())
+
+    def losses(self, counts: np.ndarray) -> np.ndarray:
+        """-log p of every word in one model."""
+        c = counts[self.word]
+        single = (c + ADD) / (counts[0] + ADD * (1 << WORD_BITS))
+        before = np.concatenate([[0], c[:-1]]) if len(c) else c
+        paired = (counts[self.pair] + BACK * single) / (before + BACK)
+        return -np.log(np.where(self.inner, paired, single))
+
+
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The first bytes of all values, then their second ones: high bytes are mostly zero and compress."""
+    return x.astype("<i8" if x.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8).T
+
+
+def _packed(x: np.ndarray) -> bytes:
+    return zlib.compress(_planes(x).tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    """Rows: slots and their counts."""
-    return np.frombuffer(zlib.decompress(data), "<i8").reshape(2, -1)
-
-
-def _count_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], names=["part", "model", "counts"])
-
-
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for r, m, c in zip(*(batch.column(k).to_pylist() for k in ("part", "model", "counts"))):
-            at, n = _unpacked(c)
-            own = sums.setdefault((r, m), np.zeros(_SLOTS // RANGES + 1, np.int64))
-            own[at - _BEGINS[r]] += n
-    for (r, m), own in sums.items():
-        at = np.flatnonzero(own)
-        yield _count_rows([(r, m, _packed(at + _BEGINS[r], own[at]))])
-
-
-COUNTS = "part long, model long, counts binary"
-
-
-def count_models(docs: DataFrame) -> np.ndarray:
-    """Counts of slots: row 0 over all of ``docs`` (text, target), row 1 over those whose target is true."""
-    partial = docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).mapInArrow(_count, COUNTS)
-    summed = partial.repartition("part", "model").mapInArrow(_add_up, COUNTS).collect()
-    counts = np.zeros((2, _SLOTS), np.int64)
-    for r in summed:
-        at, n = _unpacked(bytes(r["counts"]))
-        counts[r["model"], at] = n
-    return counts
-
-
-def losses(counts: np.ndarray, slots: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """-log p of every word in one model."""
-    words = counts[: 1 << WORD_BITS]
-    single = (words[slots] + ADD) / (float(words.sum(dtype=np.float64)) + ADD * (1 << WORD_BITS))
-    before = np.concatenate([[0], slots[:-1]]) if len(slots) else slots
-    paired = (counts[np.maximum(pairs, 0)] + BACK * single) / (words[before] + BACK)
-    return -np.log(np.where(pairs >= 0, paired, single))
-
-
-def _score(shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        background, target = shared.value
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                slots, pairs, bounds = token_slots(batch.column("text"))
-                n = np.diff(bounds)
-                out = [batch.column("doc_id"), pa.array(n)]
-                means = []
-                for counts in (target, background):
-                    sums = np.concatenate([[0.0], np.cumsum(losses(counts, slots, pairs))])
-                    means.append((sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(n, 1))
-                empty = n == 0
-                out += [pa.array(m, mask=empty) for m in means]
-                out.append(pa.array(np.where(empty, 0.0, means[0] - means[1])))
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+    return _from_planes(zlib.decompress(data)).astype(np.int64)
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _ranges(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """The parts that own sorted keys, with begin and end of theirs."""
+    owner = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    edges = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+    return [(int(owner[x]), x, y) for x, y in zip(edges, edges[1:])]
+
+
+def _send(parts: int):
+    def send(key: tuple, texts: pa.Table, ids: pa.Table) -> pa.Table:
+        """The block's counts by the part that owns the keys, which go as differences."""
+        if not texts.num_rows:
+            return _MESSAGE.empty_table()
+        block, no = Block(texts, ids.column("id")), key[0].as_py()
+        steps = block.keys - np.concatenate([_ALL, block.keys[:-1]])
+        rows = []
+        for part, x, y in _ranges(block.keys, parts):
+            steps[x] = block.keys[x]
+            rows.append((part, no, _planes(steps[x:y]).tobytes(), _packed(block.n[x:y]), _packed(block.t[x:y])))
+        return pa.table([list(c) for c in zip(*rows)], schema=_MESSAGE)
+
+    return send
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """For each block, which of its keys have a sum that is not its own count (as bits), and those sums."""
+    each = [np.cumsum(_from_planes(x), dtype=np.uint64) for x in rows.column("keys").to_pylist()]
+    ends = np.cumsum([len(x) for x in each]).tolist()
+    distinct, at = np.unique(np.concatenate(each), return_inverse=True)
+    differs, sums = np.zeros(len(at), bool), []
+    for name in ("n", "t"):
+        own = np.concatenate([_unpacked(x) for x in rows.column(name).to_pylist()])
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, at, own)
+        sums.append(total[at])
+        differs |= sums[-1] != own
+    out = []
+    for part, block, x, y in zip(rows.column("part").to_pylist(), rows.column("block").to_pylist(), [0, *ends], ends):
+        which = x + np.flatnonzero(differs[x:y])
+        if len(which):
+            out.append((part, block, zlib.compress(np.packbits(differs[x:y]).tobytes(), 1), _packed(sums[0][which]), _packed(sums[1][which])))
+    return pa.table([list(c) for c in zip(*out)], schema=_MESSAGE) if out else _MESSAGE.empty_table()
+
+
+_SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64()), ("score", pa.float64())])
+
+
+def _score(parts: int):
+    def score(texts: pa.Table, told: pa.Table) -> pa.Table:
+        """The scores of a block's documents; ``told`` are its target ids and the answers."""
+        if not texts.num_rows:
+            return _SCORES.empty_table()
+        block = Block(texts, told.column("id"))
+        begins = {part: (x, y) for part, x, y in _ranges(block.keys, parts)}
+        for part, bits, n, t in zip(*(told.column(c).to_pylist() for c in ("part", "keys", "n", "t"))):
+            if part is not None:
+                x, y = begins[part]
+                at = x + np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=y - x))
+                block.n[at], block.t[at] = _unpacked(n), _unpacked(t)
+        words = np.diff(block.bounds)
+        means = []
+        for counts in (block.t, block.n):
+            sums = np.concatenate([[0.0], np.cumsum(block.losses(counts))])
+            means.append((sums[block.bounds[1:]] - sums[block.bounds[:-1]]) / np.maximum(words, 1))
+        empty = words == 0
+        columns = [texts.column("doc_id"), pa.array(words), *(pa.array(m, mask=empty) for m in means), pa.array(np.where(empty, 0.0, means[0] - means[1]))]
+        return pa.table(columns, schema=_SCORES)
 
     return score
 
@@ -149,13 +178,18 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
 
     Returns doc_id, n_tokens, loss_target, loss_background and score, a row per row.
     """
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    blocks, parts = size // BLOCK + 1, size // PART + 1
+    # rows without an id are no target and go by their text
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = target_ids.select(F.col("doc_id").cast("long").alias("__target")).where("__target is not null").distinct()
-    # one plan at every size: a broadcast of the ids would be bounded by nothing
-    marked = texts.join(chosen.hint("merge"), F.col("doc_id") == F.col("__target"), "left").select("text", F.col("__target").isNotNull().alias("target"))
-    counts = count_models(marked).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast((counts[0], counts[1]))
-    return texts.mapInArrow(_score(shared), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    texts = texts.withColumn("block", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(blocks))).otherwise(block))
+    chosen = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    chosen = chosen.select(block.alias("block"), F.col("doc_id").alias("id"))
+    counts = texts.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(_send(parts), MESSAGE)
+    answers = counts.groupBy("part").applyInArrow(_answer, MESSAGE)
+    told = answers.unionByName(chosen, allowMissingColumns=True)
+    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(parts), SCORES)
 
 
 def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
