@@ -35,3 +35,12 @@ def test_query(spark, duck, name):
         assert rows(got, sorted(got.columns)) == rows(want, sorted(got.columns))
     else:
         assert len(got) > 0
+
+
+def test_parts_of_one_name_are_all_candidates(spark, tmp_path):
+    rows = [(1, "Brand#1", "green hammer", "STEEL"), (2, "Brand#2", "green hammer", "STEEL"), (3, "Brand#1", "red anvil", "TIN")]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    linked = {r.text: r.codes for r in relational.kb_link(spark, str(tmp_path)).collect()}
+    assert linked["green hammex"] == "B1.1,B2.2" and len(linked) == 2
+    listed = [(r.query, r.code) for r in relational.kb_shortlist(spark, str(tmp_path)).where("source = 'exact'").collect()]
+    assert sorted(listed) == [("green hammer", "B1.1"), ("green hammer", "B2.2"), ("red anvil", "B1.3")]

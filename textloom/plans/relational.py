@@ -106,15 +106,15 @@ def exact_alias_link(spark: SparkSession, sf: str) -> DataFrame:
 @query("kb_link")
 def kb_link(spark: SparkSession, sf: str) -> DataFrame:
     """Misspelt part names linked by blocking, lexical, n-gram and context scores; tested on a small knowledge base."""
-    base = parts(spark, sf).groupBy("system", "label").agg(F.min("code").alias("code"), F.min("aliases").alias("aliases"), F.min("tty").alias("tty"))
-    asked = base.selectExpr("'CHẨN_ĐOÁN' type", "concat(substring(label, 1, length(label) - 1), 'x') text", "'general' clause_kind")
+    base = parts(spark, sf).drop("p_partkey")
+    asked = base.selectExpr("'CHẨN_ĐOÁN' type", "concat(substring(label, 1, length(label) - 1), 'x') text", "'general' clause_kind").distinct()
     return linking.link(asked, base, cut=Scratch(spark, "kb-link").cut).select("text", F.array_join("candidates", ",").alias("codes"), F.round("confidence", 6).alias("confidence"), "mode")
 
 
 @query("kb_shortlist")
 def kb_shortlist(spark: SparkSession, sf: str) -> DataFrame:
-    base = parts(spark, sf).groupBy("system", "label").agg(F.min("code").alias("code"), F.min("aliases").alias("aliases"), F.min("tty").alias("tty"))
-    return linking.shortlist(base.selectExpr("label query", "system"), base, k=3).select("query", "rank", "code", F.round("score", 6).alias("score"), "source", "matched_alias")
+    base = parts(spark, sf).drop("p_partkey")
+    return linking.shortlist(base.selectExpr("label query", "system").distinct(), base, k=3).select("query", "rank", "code", F.round("score", 6).alias("score"), "source", "matched_alias")
 
 
 @query("kb_merge", """
