@@ -224,3 +224,15 @@ def test_inference_end_to_end(spark, kb, tmp_path):
     assert got[(lex.DRUG, "aspirin 81 mg")][0] == ["isHistorical"] and got[(lex.DRUG, "aspirin 81 mg")][1][0] == "243670"
     same = {r.metric: r.f1 for r in workflows.eval_outputs(spark, str(tmp_path / "out"), str(tmp_path / "out")).collect()}
     assert set(same.values()) == {1.0}
+
+
+def test_blocking_keeps_the_best_text_and_misspelt_words(spark):
+    base = spark.createDataFrame([("icd10", f"A{i}", f"fever {'x' * i}", [], None) for i in range(1, 7)] + [("icd10", "Z1", "fever zika", [], None)], "system string, code string, label string, aliases array<string>, tty string")
+    asked = spark.createDataFrame([("fever zikb", "icd10"), ("fevre", "icd10"), ("fever zika", "rxnorm")], "query string, system string")
+    got = {}
+    for r in linking.blocked(asked, base, most=2).collect():
+        got.setdefault((r.query, r.system), set()).add(r.code)
+    # all share one token with the first query, none with the second
+    assert got == {("fever zikb", "icd10"): {"A1", "Z1"}, ("fevre", "icd10"): {"A1", "A2", "A3", "A4", "A5", "A6", "Z1"}}
+    top = linking.lexical_top(asked.where("query = 'fevre'"), base, k=1).first()
+    assert top.code == "A1" and top.lexical > 0

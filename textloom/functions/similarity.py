@@ -22,18 +22,22 @@ from . import text as T
 def sequence_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
     """Ratcliff/Obershelp ratio of two strings (SIM-2); not symmetric. Only for pairs that blocking has left."""
     memo: dict[str, difflib.SequenceMatcher] = {}
+    done: dict[tuple[str, str], float] = {}
     out = []
     for x, y in zip(a.to_pylist(), b.to_pylist()):
         if x is None or y is None:
             out.append(None)
             continue
+        if (x, y) in done:
+            out.append(done[x, y])
+            continue
         m = memo.get(y)
         if m is None:
             if len(memo) > 1000:
                 memo.clear()
             m = memo[y] = difflib.SequenceMatcher(None, "", y)
         m.set_seq1(x)
-        out.append(m.ratio())
+        out.append(done.setdefault((x, y), m.ratio()))
     return pa.array(out, pa.float64())
 
 

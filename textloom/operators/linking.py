@@ -18,6 +18,8 @@ from ..lexicon import clinical as lex
 
 #: Candidates of a query after blocking, and the share of a query's pool that is scored on.
 BLOCK_MOST = 400
+#: Shares of the records that a query without common tokens meets, each in a join of its own key.
+SHARES = 64
 
 
 def aliases(kb: DataFrame) -> DataFrame:
@@ -41,13 +43,24 @@ def token_index(kb: DataFrame) -> DataFrame:
 def blocked(queries: DataFrame, kb: DataFrame, *, most: int = BLOCK_MOST) -> DataFrame:
     """query, system, code: records that share a token with the query, the ``most`` with most of them (JOIN-5, TOP-7).
 
-    A query without any such record meets no record: comparing it with the whole
-    knowledge base, as a plain loop can, would be a cross join.
+    Records with equally many at the cap go by their text's ratio to the query, then
+    by code. A query without any such record meets all records of its system.
     """
+    by = ["query", "system"]
+    queries = queries.select(*by).distinct()
     tokens = queries.select("query", "system", F.explode(T.token_set(F.col("query"))).alias("token"))
     hits = tokens.join(token_index(kb), ["system", "token"]).groupBy("query", "system", "code").agg(F.count(F.lit(1)).alias("shared"))
-    w = W.partitionBy("query", "system").orderBy(F.col("shared").desc(), "code")
-    return hits.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place", "shared")
+    before = F.rank().over(W.partitionBy(*by).orderBy(F.col("shared").desc())) - 1
+    level = F.count(F.lit(1)).over(W.partitionBy(*by, "shared"))
+    near = hits.withColumns({"before": before, "level": level}).where(F.col("before") < most)
+    near = near.join(searchable(kb).select("system", "code", "searchable"), ["system", "code"])
+    # only those at the cap are compared
+    text = F.when(F.col("before") + F.col("level") > most, F.col("searchable"))
+    w = W.partitionBy(*by).orderBy(F.col("shared").desc(), F.col("ratio").desc(), "code")
+    capped = near.withColumn("ratio", sim.sequence_ratio(F.lower("query"), text)).withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)
+    rest = queries.join(hits.select(*by).distinct(), by, "left_anti").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    every = kb.select("system", "code", F.pmod(F.xxhash64("code"), F.lit(SHARES)).cast("int").alias("share")).distinct()
+    return capped.select(*by, "code").unionByName(rest.join(every, ["system", "share"]).select(*by, "code"))
 
 
 def exact_codes(queries: DataFrame, kb: DataFrame) -> DataFrame:
