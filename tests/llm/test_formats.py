@@ -116,6 +116,14 @@ def test_salvage_skips_only_the_damage(pack):
     assert gaps == [(at, first), (second, second + len(parts[4]) // 2)]
 
 
+def test_salvage_finds_a_member_at_the_windows_end():
+    parts = [warc.member(warc.page_record(i, f"http://x/{i}", np.random.default_rng(i).bytes(5000), i, True)) for i in range(3)]
+    junk = b"-" * (2 * warc.WINDOW - 100)
+    gap, *got = warc.salvage(io.BytesIO(junk + b"".join(parts)))
+    assert (gap.start, gap.end) == (0, len(junk))
+    assert [x.headers["warc-record-id"] for x in got] == [f"<urn:page:{i}>" for i in range(3)]
+
+
 def test_salvage_of_nothing_and_of_a_cut_end():
     assert list(warc.salvage(io.BytesIO(b""))) == []
     (gap,) = warc.salvage(io.BytesIO(b"no archive at all"))

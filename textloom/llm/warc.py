@@ -223,6 +223,16 @@ def _opens(w: _Window, at: int) -> bool:
         return False
 
 
+def _next_start(w: _Window) -> int | None:
+    """Offset of the first record start in the window; each search ends before the window may grow."""
+    at = 0
+    while m := _STARTS.search(w.data, at):
+        if _opens(w, m.start()):
+            return m.start()
+        at = m.start() + 1
+    return None
+
+
 def salvage(file) -> Iterator[Record | Gap]:
     """All records that can be read, and the gaps between them, in order."""
     w = _Window(file)
@@ -242,7 +252,7 @@ def salvage(file) -> Iterator[Record | Gap]:
             w.skip(1)
             while w.fill(1):
                 w.fill(WINDOW)
-                found = next((m.start() for m in _STARTS.finditer(w.data) if _opens(w, m.start())), None)
+                found = _next_start(w)
                 if found is not None:
                     w.skip(found)
                     break
