@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions import similarity as sim
 from textloom.functions import text as T
 from textloom.lexicon import clinical as lex
 from textloom.operators import assertions, graph, linking, mentions, structure
@@ -236,3 +237,12 @@ def test_blocking_keeps_the_best_text_and_misspelt_words(spark):
     assert got == {("fever zikb", "icd10"): {"A1", "Z1"}, ("fevre", "icd10"): {"A1", "A2", "A3", "A4", "A5", "A6", "Z1"}}
     top = linking.lexical_top(asked.where("query = 'fevre'"), base, k=1).first()
     assert top.code == "A1" and top.lexical > 0
+
+
+def test_shortlist_scores_the_drug_without_its_dose(spark):
+    base = spark.createDataFrame([("rxnorm", "6809", "metformin", [], "IN")], "system string, code string, label string, aliases array<string>, tty string")
+    asked = spark.createDataFrame([("metformin 500 mg", "rxnorm")], "query string, system string")
+    (r,) = linking.shortlist(asked, base, k=3).collect()
+    # lexical 1 without the dose; aliases hold each other; 0.7 for the ingredient, less 0.05
+    cosine = spark.range(1).select(sim.ngram_cosine(F.lit("metformin 500 mg"), F.lit("metformin"))).first()[0]
+    assert r.score == pytest.approx(0.4 + 0.2 * 0.94 + 0.2 * cosine + 0.2 * 0.65 + 0.35 + 0.02)

@@ -158,20 +158,23 @@ def shortlist(queries: DataFrame, kb: DataFrame, *, k: int = 10, least: float =
     """query, system, rank, code, label, score, source, matched_alias (SIM-10, SIM-11, A4).
 
     The pool is exact hits and the lexical best; an exact hit adds .35, a
-    strength that differs takes .12 away, and bare drug names prefer ingredients.
+    strength that differs takes .12 away, and bare drug names prefer ingredients. The
+    lexical part of every record is the greater of the query's and of that without its dose.
     """
     exact = exact_codes(queries, kb).select("query", "system", "code").withColumn("exact", F.lit(True))
-    pool = lexical_top(queries, kb, k=max(6 * k, 30), least=least).withColumnRenamed("lexical", "lex")
-    pool = pool.join(exact, ["query", "system", "code"], "full_outer").withColumns({"lex": F.coalesce("lex", F.lit(0.0)), "exact": F.coalesce("exact", F.lit(False))})
+    pool = lexical_top(queries, kb, k=max(6 * k, 30), least=least).drop("lexical")
+    pool = pool.join(exact, ["query", "system", "code"], "full_outer").withColumn("exact", F.coalesce("exact", F.lit(False)))
     each = pool.join(aliases(kb), ["system", "code"])
     key = T.match_key(F.col("query"))
     s = sim.structured_match(F.col("query"), F.col("alias"))
     each = each.withColumns({"cosine": sim.ngram_cosine("query", "alias"), "semantic": sim.shortlist_similarity(key, F.col("alias_key")), "s": s})
     drug = F.col("system") == "rxnorm"
-    folded = each.groupBy("query", "system", "code", "lex", "exact").agg(
+    folded = each.groupBy("query", "system", "code", "exact").agg(
         F.max(F.struct("semantic", (-F.col("alias_no")).alias("n"), "alias")).alias("best"), F.max("cosine").alias("emb"), F.max("s.score").alias("structure"), F.max(F.col("s.mismatch")).alias("mismatch")
     )
-    folded = folded.join(kb.select("system", "code", "label", "aliases", "tty"), ["system", "code"])
+    folded = folded.join(searchable(kb).select("system", "code", "label", "aliases", "tty", "searchable"), ["system", "code"])
+    lexical = lambda q: sim.lexical_score(q, F.col("label"), F.col("searchable"))
+    folded = folded.withColumn("lex", F.greatest(lexical(F.col("query")), lexical(T.strip_last_strength(F.col("query")))))
     score = 0.4 * F.col("lex") + 0.2 * F.col("best.semantic") + 0.2 * F.col("emb") + F.when(F.col("exact"), 0.35).otherwise(0.0)
     prior = sim.bare_drug_preference(F.col("query"), F.col("label"), F.coalesce("aliases", F.array().cast("array<string>")), F.col("tty"))
     score = score + F.when(drug, 0.2 * F.col("structure") - F.when(F.col("mismatch"), 0.12).otherwise(0.0) + prior).otherwise(0.0)
