@@ -170,3 +170,15 @@ def test_scores_of_many_words_are_exact(spark, monkeypatch):
     for i, t in rows:
         assert got[i].loss_background == pytest.approx(background(t.split()), rel=1e-9)
         assert got[i].loss_target == pytest.approx(like(t.split()), rel=1e-9)
+
+
+def test_two_languages_beat_a_third_that_is_near_to_both():
+    class Fixed:
+        langs = ["a", "b", "c"]
+
+        def emissions(self, words):
+            by = {"x": (0.0, -6.0, -1.0), "y": (-6.0, 0.0, -1.0)}
+            return np.array([by[w] for w in words.to_pylist()]), np.ones(len(words), np.int64)
+
+    (path,), _ = langid.label_texts(pa.array([" ".join(["x"] * 10 + ["y"] * 10)]), Fixed())
+    assert list(path) == [0] * 10 + [1] * 10

@@ -222,7 +222,8 @@ def label_texts(column: pa.Array, model: Model) -> tuple[list[np.ndarray | int],
     for k in range(len(model.langs)):
         ahead = np.maximum(ahead, _most_ahead(scores[which, k] - scores[which, single[owner]], owner, starts, n))
     labels: list[np.ndarray | int] = single.tolist()
-    for i in np.flatnonzero(ahead >= PENALTY).tolist():
+    # m stretches in other languages cost m - 1 switches at least, and 1 if m is 1: below half a penalty each, none is gained
+    for i in np.flatnonzero(ahead >= PENALTY / 2).tolist():
         path = viterbi(scores[which[bounds[i] : bounds[i + 1]]])
         labels[i] = int(path[0]) if (path == path[0]).all() else path
     return labels, (scores, which, letters, bounds)
