@@ -38,7 +38,7 @@ def test_language_spans_and_edge_cases(spark):
     mixed = " ".join(A * 3 + B * 3 + A)
     rows = [(1, mixed), (2, None), (3, ""), (4, "123 !! 456"), (5, "дом вода камень"), (6, "the " * 50000), (7, "日本語"), (8, "House"), (8, "House")]
     df = spark.createDataFrame([(*r, "xx", 1.0) for r in rows], "doc_id long, text string, lang string, score double")
-    got = {r.doc_id: r for r in langid.identify(df, model, spans=True).collect()}
+    got = {r.doc_id: r for r in langid.identify(df, model).collect()}
     assert [(s.lang, s.words) for s in got[1].spans] == [("en", 42), ("de", 39), ("en", 14)]
     assert got[1].lang_pred == "en" and 0.4 < got[1].score < 0.8
     assert all((got[i].lang_pred, got[i].score) == ("und", 0) for i in (2, 3, 4))
@@ -71,6 +71,60 @@ def test_viterbi_is_the_best_path_and_the_shortcut_agrees():
         assert got[i] == pytest.approx(max(g[a:b].sum() for a in range(len(g)) for b in range(a + 1, len(g) + 1)))
 
 
+def _plain_identification(text, model):
+    """One text by the definition: every word scored by itself, Viterbi over all of them, no shortcut."""
+    lowered = (text or "").lower().split()
+    if not lowered:
+        return "und", 0.0, []
+    each = [model.emissions(pa.array([w], pa.large_string())) for w in lowered]
+    scores, letters = np.concatenate([e for e, _ in each]), np.array([int(n[0]) for _, n in each])
+    if not letters.sum():
+        return "und", 0.0, []
+    path = langid.viterbi(scores).tolist()
+    by = [sum(int(n) for n, k in zip(letters, path) if k == lang) for lang in range(len(model.langs))]
+    best = by.index(max(by))
+    sums = scores[[k == best for k in path]].sum(axis=0)
+    spans, at = [], 0
+    while at < len(path):
+        end = next((i for i in range(at, len(path)) if path[i] != path[at]), len(path))
+        spans.append((at, end - at, model.langs[path[at]]))
+        at = end
+    return model.langs[best], by[best] / letters.sum() / sum(math.exp(s - sums[best]) for s in sums), spans
+
+
+def test_language_query_equals_plain_viterbi(spark):
+    """All documents of sf0.001, and mixes of three to five short stretches of its four languages."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = langid.learn(langid.training_rows(docs))
+    assert len(model.langs) >= 3
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    by_lang = {r.lang: r.text.split() for r in docs.where("lang is not null and length(text) > 2000").collect()}
+    rng = random.Random(3)
+    for i in range(300):
+        mixed = []
+        for _ in range(rng.randint(3, 5)):
+            lang = rng.choice(sorted(by_lang))
+            at = rng.randrange(max(1, len(by_lang[lang]) - 12))
+            mixed += by_lang[lang][at : at + rng.randint(1, 12)]
+        rows.append((10_000 + i, " ".join(mixed)))
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert len(got) == len(rows)
+    mixes = 0
+    for i, text in rows:
+        lang, score, spans = _plain_identification(text, model)
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-9)
+        assert [(s.first_word, s.words, s.lang) for s in got[i].spans] == spans
+        mixes += len(spans) > 1
+    assert mixes > 100
+
+
+def test_language_stage_keeps_clashing_and_extra_columns(spark):
+    df = training(spark).selectExpr("doc_id", "text", "lang", "1.5D score", "array(doc_id) spans", "'x' __text_key")
+    df = df.unionByName(df.limit(3)).union(spark.createDataFrame([(None, None, "en", 1.5, [1], "x"), (5, "", None, None, None, None)], "doc_id long, text string, lang string, score double, spans array<long>, __text_key string"))
+    got = langid.identified(df)
+    assert got.columns == df.columns and got.count() == 603
+
+
 def test_toxicity_on_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = table(spark, sf, "labels").where(held_out(F.col("doc_id")))

@@ -9,9 +9,11 @@ letters is the text's, and the score is its share of letters times its posterior
 over the words labelled so.
 
 All training texts are counted.  A batch's distinct words are scored once.  A
-text whose best single language no other could beat in any stretch by as much as
-the penalty is one span, which running sums tell for whole batches; only others
-are walked word by word.
+text in which no language beats the best single one in any stretch by half the
+penalty is one span (m stretches elsewhere cost m - 1 switches at least, and one
+if m is 1), which running sums tell for whole batches; only others are walked
+word by word.  Memory follows the bytes of a slice, which are fewer the more
+languages there are.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 words without letters, or in a script that no learned language uses, speak for
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held_out, table
@@ -39,6 +41,7 @@ SLOT_BITS = 16
 FLOOR, PENALTY = 6.0, 12.0
 #: Bytes of text that a task works on at a time.
 SLICE = 1 << 22
+SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
 #: A script belongs to a language in which it has this share of letters.
 SCRIPT_SHARE = 0.01
 
@@ -229,84 +232,105 @@ def label_texts(column: pa.Array, model: Model) -> tuple[list[np.ndarray | int],
     return labels, (scores, which, letters, bounds)
 
 
-def _softmax_at(x: np.ndarray, at: int) -> float:
-    return float(1 / np.exp(np.minimum(x - x[at], 700)).sum())
+def _slice_bytes(model: Model | None) -> int:
+    """Bytes of text worked on at a time: the fewer, the more languages each word is scored in."""
+    return SLICE if model is None else max(1 << 18, SLICE * 4 // max(4, len(model.langs)))
 
 
-def _identify(model: Model | None, spans: bool):
+def _bests(sums: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The softmax of each row at its own place."""
+    return 1 / np.exp(np.minimum(sums - sums[np.arange(len(at)), at][:, None], 700)).sum(axis=1)
+
+
+def predict(column: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray, pa.ListArray]:
+    """Language, score and spans of each text; a text without a letter has no spans."""
+    n = len(column)
+    if model is None:
+        return [UND] * n, np.zeros(n), pa.array([[]] * n, SPANS)
+    labels, (scores, which, letters, bounds) = label_texts(column, model)
+    counts = np.diff(bounds)
+    some = counts > 0
+    total, sums = np.zeros(n), np.zeros((n, len(model.langs)))
+    if some.any():
+        starts = bounds[:-1][some]
+        total[some] = np.add.reduceat(letters[which], starts)
+        sums[some] = np.add.reduceat(scores[which], starts, axis=0)
+    at, share = np.zeros(n, np.int64), np.ones(n)
+    n_spans, first, words, langs = np.zeros(n, np.int64), [], [], []
+    for i in np.flatnonzero(total > 0).tolist():
+        label = labels[i]
+        if isinstance(label, int):
+            at[i] = label
+            n_spans[i] = 1
+            first.append(0)
+            words.append(int(counts[i]))
+            langs.append(label)
+            continue
+        own = which[bounds[i] : bounds[i + 1]]
+        by = np.bincount(label, letters[own], len(model.langs))
+        at[i] = by.argmax()
+        share[i], sums[i] = by[at[i]] / total[i], scores[own[label == at[i]]].sum(axis=0)
+        edges = [0, *(np.flatnonzero(np.diff(label)) + 1).tolist(), len(label)]
+        n_spans[i] = len(edges) - 1
+        first += edges[:-1]
+        words += np.diff(edges).tolist()
+        langs += label[edges[:-1]].tolist()
+    score = np.where(total > 0, share * _bests(sums, at), 0.0)
+    names = pa.array(model.langs, pa.string())
+    spans = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(words, pa.int64()), names.take(pa.array(langs, pa.int64()))], fields=list(SPANS.value_type))
+    spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_spans)]), pa.int32()), spans)
+    return [model.langs[k] if t > 0 else UND for k, t in zip(at.tolist(), total.tolist())], score, spans
+
+
+def _identify(model: Model | None):
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", SLICE):
-                n = batch.num_rows
-                found, score, pieces = [UND] * n, [0.0] * n, [[] for _ in range(n)]
-                if model is not None:
-                    labels, (scores, which, letters, bounds) = label_texts(batch.column("text"), model)
-                    for i, label in enumerate(labels):
-                        own = which[bounds[i] : bounds[i + 1]]
-                        weight = letters[own]
-                        total = int(weight.sum())
-                        if not total:
-                            continue
-                        if isinstance(label, int):
-                            at, share, sums = label, 1.0, scores[own].sum(axis=0)
-                        else:
-                            by = np.bincount(label, weight, len(model.langs))
-                            at = int(by.argmax())
-                            share, sums = float(by[at]) / total, scores[own[label == at]].sum(axis=0)
-                        found[i], score[i] = model.langs[at], share * _softmax_at(sums, at)
-                        if spans:
-                            path = np.full(len(own), label) if isinstance(label, int) else label
-                            edge = np.flatnonzero(np.diff(path)) + 1
-                            for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(path)]):
-                                pieces[i].append({"first_word": a, "words": b - a, "lang": model.langs[int(path[a])]})
-                columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(found), pa.array(score, pa.float64())]
-                names = ["doc_id", "text_key", "lang_pred", "score"]
-                if spans:
-                    kind = pa.list_(pa.struct([("first_word", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
-                    columns, names = [*columns, pa.array(pieces, kind)], [*names, "spans"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for batch in slices(whole, "text", _slice_bytes(model)):
+                found, score, spans = predict(batch.column("text"), model)
+                columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.string()), pa.array(score, pa.float64()), spans]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "lang_pred", "score", "spans"])
             release_memory()
 
     return identify
 
 
-def identify(docs: DataFrame, model: Model | None, *, spans: bool = False) -> DataFrame:
-    """doc_id, text_key (hash of the text), lang_pred and score of each row; ``spans``: also the labelled spans of words."""
+def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Of each row: doc_id, text_key (hash of the text), lang_pred, score and spans (first word, number of words, language)."""
     shared = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    schema = "doc_id long, text_key long, lang_pred string, score double"
-    if spans:
-        schema += ", spans array<struct<first_word: long, words: long, lang: string>>"
-    return shared.mapInArrow(_identify(model, spans), schema)
+    return shared.mapInArrow(_identify(model), "doc_id long, text_key long, lang_pred string, score double, spans array<struct<first_word: long, words: long, lang: string>>")
 
 
 def training_rows(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return docs.where(~held_out(F.col(doc_id)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def identified(docs: DataFrame, *, least: float = 0.5) -> DataFrame:
-    """``docs`` without those that are ``und`` or whose language has a score below ``least``."""
-    model = learn(training_rows(docs))
-    score = _scored_column(model)
-    return docs.withColumn("__lang_score", score(F.col("text").cast("string"))).where(F.col("__lang_score") >= least).select(*docs.columns)
+def _sure(model: Model | None, least: float, at: int):
+    def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            texts = pa.RecordBatch.from_arrays([whole.column(at), pa.array(np.arange(whole.num_rows))], names=["text", "row"])
+            kept = []
+            for batch in slices(texts, "text", _slice_bytes(model)):
+                found, score, _ = predict(batch.column("text"), model)
+                keep = (np.array(found, dtype=object) != UND) & (score >= least)
+                kept.append(batch.column("row").to_numpy()[keep])
+            rows = np.concatenate([*kept, np.zeros(0, np.int64)])
+            # the whole batch as it came, if all of it stays
+            yield whole if len(rows) == whole.num_rows else whole.take(pa.array(rows))
+            release_memory()
 
+    return sure
 
-def _scored_column(model: Model | None):
-    """A function of a text column: the score of its language, -1 for ``und``."""
-    from pyspark.sql.functions import arrow_udf
 
-    @arrow_udf("double")
-    def score(text: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text", SLICE):
-            part = part.append_column("doc_id", pa.nulls(part.num_rows, pa.int64())).append_column("text_key", pa.nulls(part.num_rows, pa.int64()))
-            for got in _identify(model, False)(iter([part])):
-                out += [-1.0 if lang == UND else s for lang, s in zip(got.column("lang_pred").to_pylist(), got.column("score").to_pylist())]
-        return pa.array(out, pa.float64())
+def identified(docs: DataFrame, *, least: float = 0.5) -> DataFrame:
+    """``docs`` without those that are ``und`` or whose language has a score below ``least``.
 
-    return score
+    Rows pass through the task that scores them, with all their columns.
+    """
+    model = learn(training_rows(docs))
+    return docs.mapInArrow(_sure(model, least, docs.columns.index("text")), docs.schema)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, learn(training_rows(docs)))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
