@@ -87,6 +87,47 @@ def test_token_files_round_trip(spark):
     assert token_files.token_documents(df.limit(0)).collect() == []
 
 
+def test_token_query_equals_a_direct_encoding(spark):
+    docs = common.table(spark, SF, "documents")
+    want = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.op7_token_files(spark, SF).collect()}
+    tokenizer, start = token_files._tokenizer(token_files.default_tokenizer())[0], 0
+    for r in docs.orderBy("doc_id").collect():
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2]
+        assert want[r.doc_id] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_one_task_writes_several_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_IDS", 300)
+    monkeypatch.setattr(token_files, "SLICE", 200)
+    monkeypatch.setattr(token_files.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 7})())
+    texts = [f"word{i} " * (i % 40) for i in range(100)]
+    batch = pa.record_batch([pa.array(range(100), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    write = token_files._write_shards(f"file://{tmp_path}", token_files.default_tokenizer(), 2, 0.9)
+    (manifest,) = write(iter([batch.slice(0, 50), batch.slice(50)]))
+    assert manifest.num_rows > 5 and sum(manifest.column("docs").to_pylist()) == 100
+    keys, ids = [], []
+    for path in manifest.column("path").to_pylist():
+        own, counts, reader = token_files.read_shard(path)
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        keys += own.to_pylist()
+        ids += [reader.values(int(a), int(b)).tolist() for a, b in zip(edges[:-1], edges[1:])]
+    tokenizer = token_files._tokenizer(token_files.default_tokenizer())[0]
+    assert keys == list(range(100)) and ids == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["Two  spaces, Capitals\n\tand tabs", "", " leading", None]
+    ids, per = token_files.encode_texts(pa.array(texts), path)
+    tokenizer, by_words = token_files._tokenizer(path)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert not by_words and token_files._tokenizer(token_files.default_tokenizer())[1]
+    assert per.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
 def test_sliced_columns_encode_the_same():
     texts = pa.array([f"Ünïcode {i} wörds, né! don't" * (i % 7) for i in range(200)])
     whole, n = token_files.encode_texts(texts, token_files.default_tokenizer())

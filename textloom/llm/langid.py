@@ -40,7 +40,7 @@ SLOT_BITS = 16
 #: A word's score in a language is at most this much below its best; a switch costs PENALTY.
 FLOOR, PENALTY = 6.0, 12.0
 #: Bytes of text that a task works on at a time.
-SLICE = 1 << 22
+SLICE = 1 << 20
 SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
 #: A script belongs to a language in which it has this share of letters.
 SCRIPT_SHARE = 0.01

@@ -128,7 +128,7 @@ def release_memory() -> None:
         pass
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> list[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> list[pa.RecordBatch]:
     """A batch in parts whose texts have about ``most`` bytes, so that a task's memory is bounded by that."""
     if not batch.num_rows:
         return []

@@ -1,16 +1,19 @@
 """Token-ID files: documents as one stream of ids in patched frame-of-reference blocks.
 
 Documents are put in order of doc_id (nulls first, equal ids by the hash of
-their text) by a range partitioning; each partition becomes one shard file,
-``shard-NNNNN.pfor`` (see ``pfor``), and a sidecar ``shard-NNNNN.docs`` that
-holds, as another such stream, the number of ids of each document.  Shards
-appear under their names only when complete, and a task that runs again writes
-the same bytes, so a lost executor costs no more than its own shards.
-
-Tokenizing uses the tokenizers library on distinct words: white space always
-separates pre-tokens in the tokenizers meant here, so a batch's distinct words are
-encoded once and the ids put together by gathering.  Texts that hold a special
-token's opening are encoded whole.
+their text) by a range partitioning.  Each partition streams into shards of at
+most about ``SHARD_IDS`` ids or ``SHARD_DOCS`` documents: ``shard-PPPPP-NNNN.pfor``
+(the ids, see ``pfor``), ``.counts`` (the number of ids of each document, such a
+file too) and ``.docs`` (their doc_ids, an Arrow file).  A task holds one slice
+of texts and the indexes of the shard that it writes, whatever its partition's
+size.  Files appear under their names only when complete, and a task that runs
+again writes the same bytes, so a lost executor costs no more than its own shards.
+
+Tokenizing uses the tokenizers library on distinct words where the tokenizer's
+file has the settings under which white space always separates pre-tokens and
+lower case may come first (``SPLITS_AT_SPACE``): a batch's distinct words are
+encoded once and the ids put together by gathering.  With other settings, and for
+texts that hold a special token's opening, whole texts are encoded.
 
 Defined results: a null text is empty and has the end id alone; repeated rows
 are written again; an empty table gives no shards and no rows; documents of any
@@ -19,6 +22,7 @@ length are encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -37,7 +41,23 @@ from .shingles import release_memory, slices
 
 END_ID = 2
 #: Distinct words of a generation whose ids a worker keeps; beyond it the words not met since the last time go.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
+#: A shard is closed when it has so many ids or documents.
+SHARD_IDS, SHARD_DOCS = 1 << 26, 1 << 20
+#: Bytes of text that are encoded at a time.
+SLICE = 1 << 22
+#: The normaliser and the pre-tokenizer that texts may be cut into words for, and the beginning of special tokens.
+SPLITS_AT_SPACE = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+SPECIAL = "<|"
 _TOKENIZERS: dict[str, object] = {}
 _IDS: dict[str, list[dict[str, bytes]]] = {}
 
@@ -48,12 +68,19 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+_DOCS = pa.schema([("doc_id", pa.int64())])
+_MANIFEST = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
+
+
 def _tokenizer(path: str):
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        by_words = (stated["normalizer"], stated["pre_tokenizer"]) == SPLITS_AT_SPACE and all(t["content"].startswith(SPECIAL) for t in stated["added_tokens"])
+        _TOKENIZERS[path] = Tokenizer.from_file(path), by_words
         _IDS[path] = [{}, {}]
     return _TOKENIZERS[path]
 
@@ -76,12 +103,12 @@ def _word_ids(words: list[str], tokenizer, known: list[dict[str, bytes]]) -> lis
 
 def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts on end (no end ids), and the number of ids of each text."""
-    tokenizer = _tokenizer(path)
+    tokenizer, by_words = _tokenizer(path)
     known = _IDS[path]
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
     column = pc.fill_null(column.cast(pa.large_string()), "")
-    whole = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+    whole = pc.match_substring(column, SPECIAL).to_numpy(zero_copy_only=False) if by_words else np.ones(len(column), bool)
     plain = column if not whole.any() else pc.if_else(pa.array(~whole), column, pa.scalar("", pa.large_string()))
     # what the normaliser and the pre-tokenizer do anyway: ASCII lower case, a cut between a letter and a sign
     plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-z])([!-&(-/:-@\[-`{-~])", r"\1 \2")
@@ -116,39 +143,66 @@ def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int) -> tuple[np.nda
     return np.insert(ids, np.cumsum(per_text), np.uint32(end_id)), per_text + 1
 
 
+class _Shard:
+    """The files of a shard that is being written."""
+
+    def __init__(self, name: str, percentile: float):
+        self.name = name
+        self.files = [AtomicFile(f"{name}.{kind}") for kind in ("pfor", "counts", "docs")]
+        self.ids, self.counts = pfor.Writer(self.files[0], percentile), pfor.Writer(self.files[1], percentile)
+        self.docs = pa.ipc.new_file(self.files[2].out, _DOCS)
+
+    def write(self, ids: np.ndarray, counts: np.ndarray, keys: pa.Array) -> None:
+        self.ids.write(ids)
+        self.counts.write(counts.astype(np.uint32))
+        self.docs.write_batch(pa.record_batch([keys], schema=_DOCS))
+
+    def full(self) -> bool:
+        return self.ids.n >= SHARD_IDS or self.counts.n >= SHARD_DOCS
+
+    def close(self) -> tuple[str, int, int]:
+        self.ids.close()
+        self.counts.close()
+        self.docs.close()
+        for f in self.files:
+            f.__exit__(None, None, None)
+        return self.name, self.counts.n, self.ids.n
+
+    def give_up(self, e: BaseException) -> None:
+        for f in self.files:
+            f.__exit__(type(e), e, None)
+
+
 def _write_shards(folder: str, path: str, end_id: int, percentile: float):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        ids, counts, keys = [], [], []
-        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 24)):
-            one, per = with_end(*encode_texts(batch.column("text"), path), end_id)
-            ids.append(one)
-            counts.append(per)
-            keys.append(batch.column("doc_id").cast(pa.int64()))
-        if not ids:
-            return
-        name = f"{folder}/shard-{shard:05d}"
-        stream, per = np.concatenate(ids), np.concatenate(counts)
-        del ids
-        with AtomicFile(f"{name}.docs") as out:
-            out.write(pfor.encode(per.astype(np.uint32), percentile))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as writer:
-                for k in keys:
-                    writer.write_batch(pa.record_batch([k], names=["doc_id"]))
-            out.write(sink.getvalue().to_pybytes())
-        with AtomicFile(f"{name}.pfor") as out:
-            out.write(pfor.encode(stream, percentile))
-        release_memory()
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "docs": [len(per)], "ids": [len(stream)]})
+        part, number, shard, done = TaskContext.get().partitionId(), 0, None, []
+        try:
+            for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
+                if shard is None:
+                    shard = _Shard(f"{folder}/shard-{part:05d}-{number:04d}", percentile)
+                ids, counts = with_end(*encode_texts(batch.column("text"), path), end_id)
+                shard.write(ids, counts, batch.column("doc_id").cast(pa.int64()))
+                if shard.full():
+                    done.append((part, number, *shard.close()))
+                    shard, number = None, number + 1
+                release_memory()
+            if shard is not None:
+                done.append((part, number, *shard.close()))
+                shard = None
+        except BaseException as e:
+            if shard is not None:
+                shard.give_up(e)
+            raise
+        columns = list(zip(*done)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _MANIFEST.types)], schema=_MANIFEST)
 
     return write
 
 
 def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id: int = END_ID, percentile: float = 0.9) -> DataFrame:
-    """Writes ``docs`` (doc_id, text) to ``folder``; returns the manifest: shard, path, docs, ids, start.
+    """Writes ``docs`` (doc_id, text) to ``folder``; returns the manifest: path, docs, ids, start.
 
-    The manifest has a row for each shard, no more than there are partitions.
+    The manifest, a row for each shard, passes through the driver, which adds up the starts.
     """
     spark = docs.sparkSession
     ordered = (
@@ -158,33 +212,25 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str | None = N
         .sortWithinPartitions("doc_id", "k")
         .select("doc_id", "text")
     )
-    with small_batches(spark, 4000):
-        shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "shard long, path string, docs long, ids long").collect()
+    with small_batches(spark, 1000):
+        shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "part long, number long, path string, docs long, ids long").collect()
     rows, start = [], 0
-    for r in sorted(shards, key=lambda r: r["shard"]):
-        rows.append((r["shard"], r["path"], r["docs"], r["ids"], start))
+    for r in sorted(shards, key=lambda r: (r["part"], r["number"])):
+        rows.append((r["path"], r["docs"], r["ids"], start))
         start += r["ids"]
-    return spark.createDataFrame(rows, "shard long, path string, docs long, ids long, start long")
+    return spark.createDataFrame(rows, "path string, docs long, ids long, start long")
 
 
-def _read(uri: str) -> bytes:
+def _open(uri: str) -> pa.NativeFile:
     fs, at = open_fs(uri)
-    with fs.open_input_file(at) as f:
-        return f.read()
+    return fs.open_input_file(at)
 
 
 def read_shard(path: str) -> tuple[pa.Array, np.ndarray, pfor.Reader]:
     """doc_id of each document of a shard, its number of ids, and the reader of the ids."""
-    data = _read(f"{path}.docs")
-    counts = pfor.Reader(_prefix(data))
-    keys = pa.ipc.open_stream(pa.py_buffer(data[len(_prefix(data)) :])).read_all().column("doc_id")
-    return keys, counts.values().astype(np.int64), pfor.Reader(_read(f"{path}.pfor"))
-
-
-def _prefix(data: bytes) -> bytes:
-    """The stream of counts that a sidecar begins with."""
-    _, _, n, block, index = pfor.HEADER.unpack_from(data, 0)
-    return data[: index + 8 * (-(-n // block) + 1)]
+    with _open(f"{path}.counts") as counts, _open(f"{path}.docs") as docs:
+        keys = pa.ipc.open_file(docs).read_all().column("doc_id").combine_chunks()
+        return keys, pfor.Reader(counts).values().astype(np.int64), pfor.Reader(_open(f"{path}.pfor"))
 
 
 #: Ids decoded at a time when a shard is read back.
@@ -195,7 +241,6 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
             keys, counts, reader = read_shard(path)
-            keys = pa.concat_arrays(keys.chunks) if keys.num_chunks else pa.array([], pa.int64())
             edges = np.concatenate([[0], np.cumsum(counts)])
             i = 0
             while i < len(counts):
@@ -209,6 +254,8 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
                 i = j
+            reader.file.close()
+            release_memory()
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
