@@ -46,6 +46,32 @@ def test_events_fold_into_final_messages(spark):
     assert chat.format_conversations(events(spark, []).limit(0)).collect() == []
 
 
+def _folded(log):
+    """A log's final messages, by going through all messages for every event."""
+    out = []
+    for event, key, role, text in log:
+        own = [i for i, m in enumerate(out) if key is not None and m[0] == key][-1:]
+        if event == "delta" and key is None and out:
+            own = [len(out) - 1]
+        if own and event == "delta":
+            out[own[0]][2] += text
+        elif own and event == "edit":
+            out[own[0]][2] = text
+        else:
+            if own and event == "regenerate":
+                role, out = role or out[own[0]][1], out[: own[0]]
+            out.append([key, role, text])
+    return [(m[1], m[2]) for m in out]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["message", "delta", "edit", "regenerate"]), st.sampled_from([None, "a", "b", "c"]), st.sampled_from(["user", "assistant", ""]), st.text(max_size=3)), max_size=25))
+def test_fold_equals_a_plain_walk(log):
+    fold = chat.Fold()
+    got = [m for e in log for m in fold.add(*e)]
+    assert [*got, *fold.end()] == _folded(log)
+
+
 def test_chat_query_reads_back_all_conversations(spark, monkeypatch):
     monkeypatch.setattr(chat, "PART", 300)
     rows = [(c, t, ("user", "assistant", "system")[t % 3], f"<|x|> \\ {c} {t} " * (t % 5)) for c in range(20) for t in range(c)] + [(5, 3, "user", None)]
@@ -165,6 +191,69 @@ def test_salvage_finds_a_member_at_the_windows_end():
     assert [x.headers["warc-record-id"] for x in got] == [f"<urn:page:{i}>" for i in range(3)]
 
 
+def _ids(found):
+    return [x.headers.get("warc-record-id") for x in found if isinstance(x, warc.Record)]
+
+
+@pytest.mark.parametrize("pack", [lambda r: r, warc.member])
+def test_headers_of_any_length(pack):
+    urls = ["u", "v" * 70_000, "w" * 3_000_000, "x"]
+    data = b"".join(pack(warc.page_record(i, u, b"payload", i, True)) for i, u in enumerate(urls))
+    got = list(warc.salvage(io.BytesIO(data)))
+    assert [x.headers["warc-target-uri"] for x in got] == urls
+
+
+def test_pages_with_long_urls_are_read_back(spark):
+    rows = [(1, "a" * 70_000, "one"), (2, "b" * 200_000, "two"), (3, "c", "one")]
+    manifest = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), common.Scratch(spark, "test").folder("long"))
+    assert sorted(r.id for r in warc.read_archives(manifest).where("type <> 'warcinfo'").collect()) == [f"<urn:page:{i}>" for i in (1, 2, 3)]
+
+
+def test_salvage_passes_nested_members_over_several_windows():
+    """A plain record that is damaged and holds gzip members in every window, and records after it."""
+    rng = np.random.default_rng(1)
+    inner = b"".join(warc.member(b"no record " + rng.bytes(3000)) + rng.bytes(700) for _ in range(900))
+    assert len(inner) > 3 * warc.WINDOW
+    outer = warc.page_record(0, "u", inner, 0, True).replace(b"Content-Length: ", b"Content-Length: 9", 2)
+    rest = [warc.page_record(i, "u", b"x" * 50, i, True) for i in (1, 2)]
+    gap, *got = warc.salvage(io.BytesIO(outer + b"".join(rest)))
+    assert _ids(got) == ["<urn:page:1>", "<urn:page:2>"] and (gap.start, gap.end) == (0, len(outer))
+
+
+class _Pipe(io.BytesIO):
+    def seekable(self):
+        return False
+
+
+@pytest.mark.parametrize("pack", [lambda r: r, warc.member])
+def test_damage_at_every_offset_loses_one_record_at_most(pack):
+    parts = [pack(warc.page_record(i, f"http://x/{i}", b"payload %d" % i, i, True)) for i in range(4)]
+    clean, at, end = b"".join(parts), len(parts[0]), len(parts[0]) + len(parts[1])
+    for offset in range(at, end):
+        data = bytearray(clean)
+        data[offset] ^= 0x5A
+        got = list(warc.salvage((io.BytesIO if offset % 2 else _Pipe)(bytes(data))))
+        ids = _ids(got)
+        assert set(ids) >= {f"<urn:page:{i}>" for i in (0, 2, 3)}, offset
+        # records and gaps cover the archive, in order
+        edges = [(x.start, x.end) for x in got]
+        assert edges[0][0] == 0 and edges[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+    cut = list(warc.salvage(io.BytesIO(clean[: end - 3])))
+    assert _ids(cut) == ["<urn:page:0>"] and cut[-1].end == end - 3
+
+
+def test_archive_query_equals_direct_digests(spark):
+    pages = common.table(spark, SF, "pages").collect()
+    first = {}
+    for r in sorted(pages, key=lambda r: r.page_id):
+        first.setdefault(r.html or "", r.page_id)
+    want = []
+    for r in pages:
+        body, ref = (r.html or "").encode(), first[r.html or ""]
+        want.append((r.page_id, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "response" if ref == r.page_id else "revisit", None if ref == r.page_id else ref))
+    assert sorted(want, key=str) == sorted((tuple(r) for r in warc.op8_warc(spark, SF).collect()), key=str)
+
+
 def test_salvage_of_nothing_and_of_a_cut_end():
     assert list(warc.salvage(io.BytesIO(b""))) == []
     (gap,) = warc.salvage(io.BytesIO(b"no archive at all"))

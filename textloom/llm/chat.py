@@ -69,13 +69,14 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
 
 
 class Fold:
-    """Folds one conversation's events; ``settled`` yields messages that nothing can change any more."""
+    """Folds one conversation's events; ``add`` yields messages that nothing can change any more."""
 
     def __init__(self):
         self.open: list[list] = []  # key, role, text parts
+        self.place: dict[str, int] = {}  # of the last open message of each key
 
     def add(self, event: str, message, role: str, text: str) -> Iterator[tuple[str, str]]:
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if message is not None and self.open[i][0] == message), None)
+        at = self.place.get(message) if message is not None else None
         if event == "delta":
             if message is None and self.open:
                 at = len(self.open) - 1
@@ -87,20 +88,26 @@ class Fold:
             return
         elif event == "regenerate" and at is not None:
             role = role or self.open[at][1]
-            del self.open[at:]
-        elif event == "message" and message is None:
-            # a whole message without a key: none of those before it can be named again unless they have one
-            while self.open and self.open[0][0] is None:
-                yield self._out(self.open.pop(0))
+            while len(self.open) > at:
+                self._forget(self.open.pop(), len(self.open))
+        elif event == "message" and message is None and not self.place:
+            # no message before a whole one without a key can be named again
+            yield from self.end()
+        if message is not None:
+            self.place[message] = len(self.open)
         self.open.append([message, role, [text]])
 
-    @staticmethod
-    def _out(m: list) -> tuple[str, str]:
-        return m[1], "".join(m[2])
+    def _forget(self, m: list, at: int) -> None:
+        if m[0] is not None and self.place.get(m[0]) == at:
+            del self.place[m[0]]
+            # an earlier message of the same key, if there is one, takes its place again
+            earlier = next((i for i in range(at - 1, -1, -1) if self.open[i][0] == m[0]), None)
+            if earlier is not None:
+                self.place[m[0]] = earlier
 
     def end(self) -> Iterator[tuple[str, str]]:
         for m in self.open:
-            yield self._out(m)
+            yield m[1], "".join(m[2])
         self.open = []
 
 
@@ -226,3 +233,23 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = rows.union(probe).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"), F.lit(None).cast("string").alias("message"), "role", "text")
     scratch = Scratch(spark, "chat")
     return read_conversations(scratch.table(format_conversations(events), "formatted"))
+
+
+def _escapes_sql(column: str) -> str:
+    return " + ".join(f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ["\\", *CONTROL])
+
+
+#: A text grows by one character for each backslash and each place where a control string begins; none begins where another does.
+OP6_SQL = f"""
+WITH r AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), x AS (
+  SELECT *, {_escapes_sql("text")} AS more_text, {_escapes_sql("role")} AS more_role FROM r
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + more_role + length(text) + more_text + {len("<||>") + 1 + len(END)}) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id
+"""

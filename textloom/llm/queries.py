@@ -20,5 +20,7 @@ ORACLE_SQL = {
     "op1_topk_search": topk_search.OP1_SQL,
     "op2_jaccard_join": jaccard_join.OP2_SQL,
     "op5_decontaminate": decontamination.OP5_SQL,
+    "op6_chat_format": chat.OP6_SQL,
+    "op8_warc": warc.OP8_SQL,
     "op9_pareto_mix": mixing.OP9_SQL,
 }

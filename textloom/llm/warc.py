@@ -6,8 +6,11 @@ and length, aggregated before the shuffle: the one with the smallest page id is
 a ``response``, the others are ``revisit`` records that refer to it and carry no
 payload, only its digest and length.
 
-The salvage reader reads an archive from end to end through a window of bounded
-size.  Where a member or a record fails its checks (compressed data, CRC,
+The salvage reader reads an archive from end to end through a window that holds
+no more than the record at hand.  A header may be of any length: it goes on as
+long as its lines have the form of headers.  Before a plain record is read, the
+archive's size and the bytes where its content length says it ends are looked at,
+so that a damaged length costs no memory.  Where a member or a record fails its checks (compressed data, CRC,
 version line, header syntax, content length, payload digest), the reader looks
 for the next gzip member that opens with a version line, or the next version
 line in plain archives, goes on there, and logs the bytes between as a
@@ -37,9 +40,10 @@ from .common import AtomicFile, Scratch, open_fs, table
 
 VERSION = b"WARC/1.1"
 MAX_BYTES = 64 << 20
-#: Bytes read at a time, and the most that one record may hold before it counts as damaged.
-WINDOW, MAX_RECORD = 1 << 20, 1 << 31
-MAX_HEADER = 1 << 16
+#: Bytes read at a time.
+WINDOW = 1 << 20
+#: Bytes of a header line's name; what goes on longer without a colon is no header.
+NAME_BYTES = 256
 _DATE = "1970-01-01T00:00:00Z"
 
 
@@ -117,7 +121,7 @@ class _Window:
     def fill(self, n: int) -> bool:
         """Has n bytes at hand, or all that are left."""
         while len(self.data) < n and not self.over:
-            more = self.file.read(WINDOW)
+            more = self.file.read(max(WINDOW, n - len(self.data)))
             self.over = not more
             self.data += more
         return len(self.data) >= n
@@ -126,6 +130,17 @@ class _Window:
         del self.data[:n]
         self.at += n
 
+    def peek(self, at: int, n: int) -> bytes:
+        """Up to n bytes from an offset of the window on, without holding those between if the file can seek."""
+        if at + n <= len(self.data) or not self.file.seekable():
+            self.fill(at + n)
+            return bytes(self.data[at : at + n])
+        back = self.file.tell()
+        self.file.seek(self.at + at)
+        found = bytes(self.file.read(n))
+        self.file.seek(back)
+        return found
+
 
 class Damaged(ValueError):
     pass
@@ -157,31 +172,59 @@ def _checked(headers: dict[str, str], block: bytes) -> Record:
     return record
 
 
+#: A beginning of a header: whole lines, then a line that may still become one.
+_HEADER_SO_FAR = re.compile(rb"(?:[^\r\n:]{1,%d}:[^\r\n]*\r\n)*(?:[^\r\n:]{0,%d}|[^\r\n:]{1,%d}:[^\r\n]*)\r?" % ((NAME_BYTES,) * 3))
+
+
+class _Header:
+    """Looks for a header's end in bytes that grow; each byte is tested once."""
+
+    def __init__(self):
+        self.line = 0  # begin of the first line that is not known to be whole
+
+    def end(self, data) -> int:
+        """Offset of the blank line after the header, -1 if it is still to come."""
+        if self.line == 0 and len(data) >= 10:
+            if not re.match(rb"WARC/1\.[01]\r\n", data):
+                raise Damaged("no version line")
+            self.line = 10
+        if not self.line:
+            return -1
+        end = data.find(b"\r\n\r\n", self.line - 2)
+        stop = len(data) if end < 0 else end + 2
+        if not _HEADER_SO_FAR.fullmatch(bytes(data[self.line : stop])):
+            raise Damaged("a header line without a colon")
+        self.line = max(self.line, data.rfind(b"\r\n", self.line, stop) + 2)
+        return end
+
+
 def _plain_record(w: _Window) -> tuple[Record, int]:
     """The record that the window begins with, and its length."""
-    end = -1
-    size = 4096
+    header, end, size = _Header(), -1, 4096
     while end < 0:
         whole = w.fill(size)
-        end = w.data.find(b"\r\n\r\n", 0, MAX_HEADER)
-        if end < 0 and (not whole or size >= MAX_HEADER):
+        end = header.end(w.data)
+        if end < 0 and not whole:
             raise Damaged("a header without end")
-        size *= 2
+        size = 2 * len(w.data)
     headers = parse_headers(bytes(w.data[:end]))
-    length = int(headers["content-length"])
-    if length > MAX_RECORD:
-        raise Damaged("a content length beyond all measure")
-    total = end + 4 + length + 4
-    if not w.fill(total):
+    total = end + 4 + int(headers["content-length"]) + 4
+    tail = w.peek(total - 4, 4)
+    if len(tail) < 4:
         raise Damaged("the archive ends within a record")
-    if bytes(w.data[total - 4 : total]) != b"\r\n\r\n":
+    if tail != b"\r\n\r\n":
         raise Damaged("no record end where the content length says")
+    w.fill(total)
     return _checked(headers, bytes(w.data[end + 4 : total - 4])), total
 
 
 def _member_record(w: _Window) -> tuple[Record, int]:
-    """The record in the gzip member that the window begins with, and the member's length."""
+    """The record in the gzip member that the window begins with, and the member's length.
+
+    A member grows no further than its own header says.
+    """
     z, out, used, size = zlib.decompressobj(31), bytearray(), 0, 1 << 14
+    header, end, total = _Header(), -1, 0
     while not z.eof:
         whole = w.fill(used + size)
         piece = bytes(w.data[used : used + size])
@@ -192,19 +235,19 @@ def _member_record(w: _Window) -> tuple[Record, int]:
         except zlib.error as e:
             raise Damaged(f"compressed data: {str(e)[:60]}") from None
         used += len(piece) - len(z.unused_data)
-        if len(out) >= 7 and not out.startswith(b"WARC/1."):
-            raise Damaged("no version line")
-        if len(out) > MAX_RECORD:
-            raise Damaged("a member beyond all measure")
+        if end < 0:
+            end = header.end(out)
+            if end >= 0:
+                headers = parse_headers(bytes(out[:end]))
+                total = end + 4 + int(headers["content-length"]) + 4
+        if end >= 0 and len(out) > total:
+            raise Damaged("no record end where the content length says")
         if not z.eof and not whole and used >= len(w.data):
             raise Damaged("the archive ends within a member")
-        size = WINDOW
-    end = out.find(b"\r\n\r\n", 0, MAX_HEADER)
+        size = 1 << 16
     if end < 0:
         raise Damaged("a header without end")
-    headers = parse_headers(bytes(out[:end]))
-    length = int(headers["content-length"])
-    if len(out) != end + 4 + length + 4 or out[-4:] != b"\r\n\r\n":
+    if len(out) != total or out[-4:] != b"\r\n\r\n":
         raise Damaged("no record end where the content length says")
     return _checked(headers, bytes(out[end + 4 : -4])), used
 
@@ -307,11 +350,14 @@ def write_archives(pages: DataFrame, folder: str, *, min_bytes: int = 0, max_byt
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     keyed = keyed.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
-    first = keyed.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.min("page_id").alias("first"))
-    first = scratch.table(first.select(F.col("digest").alias("d"), F.col("size").alias("s"), "first"), "first")
-    told = keyed.join(first, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")), "left")
-    told = told.withColumn("is_first", F.col("s").isNull() | F.col("page_id").eqNullSafe(F.col("first")))
-    told = told.select("page_id", "url", "html", "first", "is_first")
+    seen = scratch.table(keyed.where(F.col("size") >= min_bytes).groupBy("digest", "size", "page_id").agg(F.count(F.lit(1)).alias("n")), "seen")
+    first = seen.groupBy("digest", "size").agg(F.min("page_id").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    first = scratch.table(first.withColumnsRenamed({"digest": "d", "size": "s"}), "first")
+    # digests meet digests; payloads are dealt by page, so that no common payload goes to one task
+    later = seen.join(first, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s"))).where(~F.col("page_id").eqNullSafe(F.col("first")))
+    later = scratch.table(later.select(F.col("page_id").alias("p"), "d", "s", "first"), "later")
+    told = keyed.join(later, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")), "left")
+    told = told.withColumn("is_first", F.col("d").isNull()).select("page_id", "url", "html", "first", "is_first")
     return scratch.table(told.mapInArrow(_write_archives(folder, max_bytes), "path string, bytes long"), "manifest")
 
 
@@ -324,7 +370,7 @@ def _read_archives(with_payload: bool):
 
     def rows(path: str) -> Iterator[tuple]:
         fs, at = open_fs(path)
-        with fs.open_input_stream(at, compression=None) as file:
+        with fs.open_input_file(at) as file:
             for x in salvage(file):
                 if isinstance(x, Gap):
                     yield (path, x.start, x.end, "gap", None, None, None, None, x.reason) + (None,) * with_payload
@@ -371,3 +417,19 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
         F.when(F.col("type") == "revisit", page("refers_to")).alias("refers_to"),
     )
+
+
+#: Base32 of the SHA-1: every 5 hex digits are 20 bits, which are 4 characters.
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS h FROM p
+), b AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest FROM d
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM b
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f
+"""
