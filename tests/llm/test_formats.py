@@ -295,7 +295,7 @@ def test_mix_meets_its_targets(spark):
         x[0], x[1], x[2] = x[0] + r.taken, r.target, x[2] + r.size
         assert r.taken <= 2 * r.size and r.source_size >= r.size
     total = sum(x[2] for x in by.values())
-    assert all(abs(taken - target) <= 50 and target <= 2 * size + 1e-9 for taken, target, size in by.values())
+    assert all(abs(taken - target) <= 3 and target <= 2 * size + 1e-9 for taken, target, size in by.values())
     assert sum(x[1] for x in by.values()) == pytest.approx(1.5 * total)
     again = mixing.mix(df.repartition(5), bucket_rows=1000).collect()
     assert sorted((r.doc_id, r.copies) for r in got) == sorted((r.doc_id, r.copies) for r in again)
@@ -304,6 +304,22 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(df.limit(0)).collect() == [] and mixing.mixed_documents(df.limit(0)).collect() == []
 
 
+def test_mix_of_documents_hits_its_targets(spark):
+    """sf0.01: each source of some dozen documents; longer classes are taken more often, and no class always alike."""
+    got = mixing.op9_pareto_mix(spark, "/root/testdata/sf0.01").withColumn("miss", F.lit(0)).toPandas()
+    by = got.groupby(["source_size", "target"]).agg(taken=("taken", "sum"), n=("taken", "size")).reset_index()
+    assert ((by.taken - by.target).abs() <= 0.01 * by.target).all()
+    odds = got[got["size"] > 0].assign(long=lambda d: d["size"] > d["size"].median()).groupby("long").copies.mean()
+    assert odds[True] > odds[False]
+
+
+def test_mix_keeps_every_row_of_repeated_ones(spark):
+    rows = [(1, "w " * 9, "s", "x"), (1, "w " * 9, "s", "y")] + [(10 + i, "v " * 9, "t", "z") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy string").withColumn("mix_id", F.lit(1))
+    mixed = mixing.mixed_documents(df, weights=(100, 1)).where("doc_id = 1").collect()
+    assert sorted(r.copy for r in mixed) == ["x", "x", "y", "y"] and mixed[0].mix_id == 1
+
+
 def test_pipeline_stages_equal_their_operators(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontaminate", "mix", "token_files"]
     docs = common.table(spark, SF, "documents")

@@ -38,6 +38,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have, made of ``names``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or, only where that is unset, a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None)

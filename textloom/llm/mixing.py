@@ -2,24 +2,31 @@
 
 Sources share a word budget by weight.  A source's target is capped at
 ``max_copies`` times its size; what a cap cuts off is shared again, by weight,
-among the others (water filling).  Each document expects target / size copies:
-the whole part is certain and allocated to all; the rest is a probability p, for
-which documents are ranked by random odds over inclusion odds,
+among the others (water filling).
+
+Within a source, a document's expected copies are in proportion to its length
+class, the number of binary digits of its size, as far as ``max_copies`` allows:
+the same water filling, over the at most 63 classes of the source, so that the
+expected words add up to the target.  The whole part of the expected copies is
+certain and allocated to all; the rest is the document's own inclusion
+probability p.  Documents are ranked by random odds over inclusion odds,
 
     (u / (1 - u)) / (p / (1 - p)),
 
-and taken in that order until the words that are left are used up.  The draw is
-thus of fixed size in words: a source ends within half a document of its target.
+and taken in that order as long as they fit into the words that are left: first
+the longest prefix, then, in ``FILLS`` rounds over those behind it, what still
+fits into the gap, and last the smallest one if it leaves the source nearer to
+its target.  The draw is thus of fixed size in words.
 
-The ranking is never a sort of a whole source.  Documents fall into as many
-buckets of u as the source needs to keep each near ``bucket_rows`` rows; running
-sums over bucket totals settle all buckets but the one in which the words run
-out, and only that one is sorted.  u is a hash of the id, so reruns agree.
+The ranking is never a sort of a whole source.  Documents fall into bands of
+q / (1 + q), q the ratio of odds; running sums over band totals settle all bands
+but the one in which the words run out, and only that one is sorted.  That is
+where q is near 1, and there a band has no more than about ``bucket_rows`` rows
+whatever the probabilities are.  u is a hash of the id, so reruns agree.
 
-Defined results: a null or empty text has size 0 and takes nothing; a null
-source is a source of its own, ordered last; sources are ordered by code point;
-repeated rows are drawn one by one; a source without words has target 0; an
-empty table gives an empty result.
+Defined results: a null or empty text has size 0 and is not taken; a null source
+is a source of its own, ordered last; sources are ordered by code point; repeated
+rows are drawn one by one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,9 +37,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import GAP, Scratch, table
+from .common import GAP, Scratch, fresh, table
 
 BUCKET_ROWS = 4096
+#: Rounds in which documents behind the cut fill what is left.
+FILLS = 3
 
 
 def size_in_words(text: Column) -> Column:
@@ -71,6 +80,33 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, max_copi
     )
 
 
+def length_class(size: Column) -> Column:
+    """The number of binary digits."""
+    return F.length(F.bin(size))
+
+
+def expected_copies(classes: DataFrame, max_copies: float) -> DataFrame:
+    """Expected copies of the documents of each source and class, and the words that certain copies leave to be drawn.
+
+    ``classes``: source, class, words (over 0), source_size, source_rows, target.
+    """
+    own = W.partitionBy("source")
+    before = own.orderBy(F.desc("class")).rowsBetween(W.unboundedPreceding, -1)
+    limit = F.lit(float(max_copies))
+    return (
+        classes.withColumn("weight", F.col("class") * F.col("words"))
+        .withColumn("rest", F.col("target") - limit * F.coalesce(F.sum("words").over(before), F.lit(0)))
+        .withColumn("level", F.col("rest") / (F.sum("weight").over(own) - F.coalesce(F.sum("weight").over(before), F.lit(0))))
+        # from the longest class on, classes are capped as long as the level of what is left reaches the cap
+        .withColumn("level", F.max(F.when(F.col("level") * F.col("class") < limit, F.struct("class", "level"))).over(own)["level"])
+        .withColumn("expected", F.when(F.col("level").isNull(), limit).otherwise(F.least(limit, F.col("level") * F.col("class"))))
+        .withColumn("certain", F.floor("expected"))
+        .withColumn("p", F.col("expected") - F.col("certain"))
+        .withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.sum(F.col("certain") * F.col("words")).over(own)))
+        .select("source", "class", "source_size", "source_rows", "target", "certain", "p", "left")
+    )
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -87,69 +123,86 @@ def mix(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    sized = scratch.table(
-        docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("text_key"), size_in_words(F.col("text")).alias("size")),
-        "sized",
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("text_key"), size_in_words(F.col("text")).alias("size"))
+    sized = scratch.table(sized.withColumn("class", F.when(F.col("size") > 0, length_class(F.col("size"))).otherwise(0)), "sized")
+    classes = scratch.table(sized.groupBy("source", "class").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")), "classes")
+    per_source = classes.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("rows").alias("source_rows"))
+    goal = targets(per_source, weights, share, max_copies).withColumnRenamed("source", "goal_source")
+    goal = scratch.table(classes.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source"), "goal")
+    # at most 64 rows a source
+    copies = expected_copies(goal.where(F.col("class") > 0), max_copies).unionByName(
+        goal.where(F.col("class") == 0).select("source", "class", "source_size", "source_rows", "target", F.lit(0).cast("long").alias("certain"), F.lit(0.0).alias("p"), F.lit(0.0).alias("left"))
     )
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
-    goal = scratch.table(targets(per_source, weights, share, max_copies), "targets")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    copies = scratch.table(copies, "copies").withColumnsRenamed({"source": "copies_source", "class": "copies_class"})
     placed = (
-        sized.withColumnRenamed("source", "own_source")
-        .join(goal, F.col("own_source").eqNullSafe(F.col("source")))
-        .drop("own_source")
-        .withColumn("certain", F.floor(ratio))
-        .withColumn("p", ratio - F.col("certain"))
-        .withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.col("certain") * F.col("source_size")))
+        sized.join(copies, F.col("source").eqNullSafe(F.col("copies_source")) & (F.col("class") == F.col("copies_class")))
         .withColumn("u", unit_hash(F.col("doc_id"), seed))
-        # u = 0 odds beyond any other where p is 0: nothing is drawn there
         .withColumn("odds", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) / (F.col("p") / (1 - F.col("p")))))
-        # within a source p is one number, so that equal bands of u are bands of the odds
-        .withColumn("bucket", F.floor(F.col("u") * F.ceil(F.col("source_rows") / F.lit(float(bucket_rows)))))
+        # monotone in the odds; null where nothing is drawn
+        .withColumn("band", F.floor(F.col("odds") / (1 + F.col("odds")) * F.ceil(F.col("source_rows") / F.lit(float(bucket_rows)))))
     )
-    bands = placed.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    upto = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    bands = placed.where(F.col("p") > 0).groupBy("source", "band").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+    upto = W.partitionBy("source").orderBy("band").rowsBetween(W.unboundedPreceding, -1)
     bands = scratch.table(
         bands.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0).cast("long"))).select(
-            F.col("source").alias("band_source"), F.col("bucket").alias("band"), "before",
+            F.col("source").alias("band_source"), F.col("band").alias("band_no"), "before",
             # the cut lies in the band in which the running words pass what is left
             F.when(F.col("before") + F.col("words") <= F.col("left"), 1).when(F.col("before") >= F.col("left"), 0).alias("settled"),
         ),
         "bands",
     )
-    joined = placed.join(bands, F.col("source").eqNullSafe(F.col("band_source")) & (F.col("bucket") == F.col("band"))).drop("band_source", "band")
     columns = ["doc_id", "source", "text_key", "size", "source_size", "target", "certain"]
-    settled = joined.where(F.col("settled").isNotNull()).select(*columns, (F.col("settled") * (F.col("p") > 0).cast("int")).alias("drawn"))
-    inside = W.partitionBy("source", "bucket").orderBy("odds", "size", "doc_id", "text_key").rowsBetween(W.unboundedPreceding, -1)
-    cut = (
-        joined.where(F.col("settled").isNull())
-        .withColumn("upto", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
-        .select(*columns, (F.col("upto") + F.col("size") / F.lit(2.0) <= F.col("left")).cast("int").alias("drawn"))
-    )
+    joined = placed.where(F.col("p") > 0).join(bands, F.col("source").eqNullSafe(F.col("band_source")) & (F.col("band") == F.col("band_no")))
+    settled = joined.where(F.col("settled").isNotNull()).select(*columns, F.col("settled").alias("drawn"))
+    never = placed.where(F.col("p") == 0).select(*columns, F.lit(0).alias("drawn"))
+    cut = _filled(joined.where(F.col("settled").isNull())).select(*columns, "drawn")
     return (
-        settled.unionByName(cut)
+        settled.unionByName(never)
+        .unionByName(cut)
         .withColumn("copies", (F.col("certain") + F.col("drawn")).cast("int"))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select("doc_id", "source", "text_key", "size", "source_size", "target", "copies", "taken")
     )
 
 
+def _filled(band: DataFrame) -> DataFrame:
+    """``drawn`` of the documents of bands with a cut (one a source), which have size, odds, left and before."""
+    whole = W.partitionBy("source", "band")
+    order = ["odds", "size", "doc_id", "text_key"]
+    running = whole.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    out = band.withColumn("gap", F.col("left") - F.col("before")).withColumn("drawn", F.lit(0))
+    for i in range(1 + FILLS):
+        # the first round takes a prefix; each other one a prefix of those that are small enough by themselves
+        fits = (F.col("drawn") == 0) & (F.col("size") <= F.col("gap")) if i else F.lit(True)
+        out = (
+            out.withColumn("fits", F.when(fits, F.col("size")).otherwise(0))
+            .withColumn("upto", F.sum("fits").over(running))
+            .withColumn("now", ((F.col("fits") > 0) & (F.col("upto") <= F.col("gap"))).cast("int"))
+            .withColumn("drawn", F.col("drawn") + F.col("now"))
+            .withColumn("gap", F.col("gap") - F.sum(F.col("now") * F.col("size")).over(whole))
+        )
+    nearer = F.when((F.col("drawn") == 0) & (F.col("size") < 2 * F.col("gap")), F.struct("size", "odds", "doc_id", "text_key"))
+    last = F.row_number().over(whole.orderBy(nearer.isNull(), "size", "odds", "doc_id", "text_key"))
+    return out.withColumn("drawn", F.col("drawn") + (nearer.isNotNull() & (last == 1)).cast("int"))
+
+
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with its own columns."""
-    drawn = mix(docs, **how).select(
-        F.col("doc_id").alias("__mix_id"), F.col("text_key").alias("__mix_key"), F.col("source").alias("__mix_source"), F.col("copies").alias("__mix_copies")
-    )
-    # rows that repeat an id, a text and a source are drawn together: their copies are summed and dealt out again
-    drawn = drawn.groupBy("__mix_id", "__mix_key", "__mix_source").agg(F.sum("__mix_copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows"))
-    drawn = drawn.where("__mix_copies > 0")
-    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
-    joined = keyed.join(
-        drawn,
-        F.col("doc_id").eqNullSafe(F.col("__mix_id")) & (F.col("__text_key") == F.col("__mix_key")) & F.col("source").cast("string").eqNullSafe(F.col("__mix_source")),
-    )
-    # one row of a repeated row stands for all of them
-    single = joined.where("__mix_rows = 1").unionByName(joined.where("__mix_rows > 1").dropDuplicates(["__mix_id", "__mix_key", "__mix_source"]))
-    return single.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).select(*[single[c] for c in docs.columns])
+    """The mix itself: every row of ``docs`` as often as it is taken, with its own columns.
+
+    Rows that repeat an id, a text and a source are drawn together, and their
+    copies are dealt out to all of them in turn.
+    """
+    i, k, s, copies, rows, key, place, copy = fresh(docs, "mix_id", "mix_key", "mix_source", "mix_copies", "mix_rows", "text_key", "place", "copy")
+    drawn = mix(docs, **how).groupBy(F.col("doc_id").alias(i), F.col("text_key").alias(k), F.col("source").alias(s))
+    drawn = drawn.agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)).where(F.col(copies) > 0)
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    joined = keyed.join(drawn, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(k)) & F.col("source").cast("string").eqNullSafe(F.col(s)))
+    # only rows that are repeated are numbered; their other columns tell them apart, and equal rows are interchangeable
+    number = F.row_number().over(W.partitionBy(i, k, s).orderBy(F.xxhash64(*docs.columns)))
+    repeated = joined.where(F.col(rows) > 1).withColumn(place, number)
+    share = F.floor(F.col(copies) / F.col(rows)) + (F.col(place) <= F.col(copies) % F.col(rows)).cast("int")
+    every = joined.where(F.col(rows) == 1).withColumn(place, F.lit(1)).unionByName(repeated.withColumn(copies, share).where(F.col(copies) > 0))
+    return every.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[every[c] for c in docs.columns])
 
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,16 +224,51 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, CASE WHEN lv IS NULL OR ratio <= lv THEN cap ELSE lv * weight END AS target
   FROM (SELECT *, (SELECT arg_min(level, ratio) FROM m AS x WHERE x.level < x.ratio) AS lv FROM m)
-), p AS (
-  SELECT d.doc_id, d.text, d.size, t.source, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS certain,
-    (('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), k AS (
+  SELECT source, length(bin(size)) AS class, sum(size) AS words FROM d WHERE size > 0 GROUP BY ALL
+), e0 AS (
+  SELECT k.*, t.source_size, t.target, class * words AS weight FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+), e1 AS (
+  SELECT *, (target - 2.0::DOUBLE * coalesce(sum(words) OVER before, 0)) / (sum(weight) OVER (PARTITION BY source) - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM e0 WINDOW before AS (PARTITION BY source ORDER BY class DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), e2 AS (
+  SELECT *, (SELECT arg_max(x.level, x.class) FROM e1 AS x WHERE x.source IS NOT DISTINCT FROM e1.source AND x.level * x.class < 2.0) AS lv FROM e1
+), e3 AS (
+  SELECT *, CASE WHEN lv IS NULL THEN 2.0::DOUBLE ELSE least(2.0::DOUBLE, lv * class) END AS expected FROM e2
+), e AS (
+  SELECT *, floor(expected) AS certain, expected - floor(expected) AS p, greatest(0, target - sum(floor(expected) * words) OVER (PARTITION BY source)) AS rest FROM e3
 ), q AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END - certain AS p, greatest(0, target - certain * source_size) AS rest FROM p
-), r AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u / (1 - u) / (p / (1 - p)), size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM q
+  SELECT d.doc_id, d.size, t.source, t.source_size, t.target, coalesce(e.certain, 0) AS certain, coalesce(e.p, 0) AS p, coalesce(e.rest, 0) AS rest,
+    (('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN e ON e.source IS NOT DISTINCT FROM d.source AND e.class = length(bin(d.size)) AND d.size > 0
+), o AS (
+  SELECT *, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS odds FROM q
+), b AS (
+  SELECT *, floor(odds / (1 + odds) * ceil(count(*) OVER (PARTITION BY source) / 4096.0::DOUBLE)) AS band FROM o
+), b1 AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, p > 0 ORDER BY band RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(size) OVER (PARTITION BY source, p > 0, band) AS words FROM b
+), f0 AS (
+  SELECT *, p > 0 AND before < rest AND before + words > rest AS inside, (p > 0 AND before + words <= rest)::INT AS drawn0, rest - before AS gap0 FROM b1
+), g1 AS (
+  SELECT *, CASE WHEN inside AND sum(size) OVER (PARTITION BY source, inside, band ORDER BY odds, size, doc_id ROWS UNBOUNDED PRECEDING) <= gap0 THEN 1 ELSE 0 END AS drawn1 FROM f0
+), h1 AS (SELECT *, gap0 - sum(drawn1 * size) OVER (PARTITION BY source, inside, band) AS gap1 FROM g1
+), g2 AS (
+  SELECT *, CASE WHEN inside AND drawn1 = 0 AND size <= gap1 AND sum(CASE WHEN drawn1 = 0 AND size <= gap1 THEN size ELSE 0 END) OVER (PARTITION BY source, inside, band ORDER BY odds, size, doc_id ROWS UNBOUNDED PRECEDING) <= gap1
+    THEN 1 ELSE 0 END + drawn1 AS drawn2 FROM h1
+), h2 AS (SELECT *, gap0 - sum(drawn2 * size) OVER (PARTITION BY source, inside, band) AS gap2 FROM g2
+), g3 AS (
+  SELECT *, CASE WHEN inside AND drawn2 = 0 AND size <= gap2 AND sum(CASE WHEN drawn2 = 0 AND size <= gap2 THEN size ELSE 0 END) OVER (PARTITION BY source, inside, band ORDER BY odds, size, doc_id ROWS UNBOUNDED PRECEDING) <= gap2
+    THEN 1 ELSE 0 END + drawn2 AS drawn3 FROM h2
+), h3 AS (SELECT *, gap0 - sum(drawn3 * size) OVER (PARTITION BY source, inside, band) AS gap3 FROM g3
+), g4 AS (
+  SELECT *, CASE WHEN inside AND drawn3 = 0 AND size <= gap3 AND sum(CASE WHEN drawn3 = 0 AND size <= gap3 THEN size ELSE 0 END) OVER (PARTITION BY source, inside, band ORDER BY odds, size, doc_id ROWS UNBOUNDED PRECEDING) <= gap3
+    THEN 1 ELSE 0 END + drawn3 AS drawn4 FROM h3
+), h4 AS (SELECT *, gap0 - sum(drawn4 * size) OVER (PARTITION BY source, inside, band) AS gap4 FROM g4
+), l4 AS (
+  SELECT *, (inside AND drawn4 = 0 AND size < 2 * gap4) AS nearer FROM h4
 ), c AS (
-  SELECT *, CAST(certain + CASE WHEN p > 0 AND upto + size / 2.0 <= rest THEN 1 ELSE 0 END AS INTEGER) AS copies FROM r
+  SELECT *, CAST(certain + drawn0 + drawn4 + CASE WHEN nearer AND row_number() OVER (PARTITION BY source, inside, band, nearer ORDER BY size, odds, doc_id) = 1 THEN 1 ELSE 0 END AS INTEGER) AS copies FROM l4
 )
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM c
 """
