@@ -22,7 +22,8 @@ The ranking is never a sort of a whole source.  Documents fall into bands of
 q / (1 + q), q the ratio of odds; running sums over band totals settle all bands
 but the one in which the words run out, and only that one is sorted.  That is
 where q is near 1, and there a band has no more than about ``bucket_rows`` rows
-whatever the probabilities are.  u is a hash of the id, so reruns agree.
+whatever the probabilities are; the gap is filled from that band.  u is a hash of
+the id, so reruns agree (for the same ``bucket_rows``).
 
 Defined results: a null or empty text has size 0 and is not taken; a null source
 is a source of its own, ordered last; sources are ordered by code point; repeated

@@ -41,7 +41,7 @@ from .shingles import release_memory, slices
 
 END_ID = 2
 #: Distinct words of a generation whose ids a worker keeps; beyond it the words not met since the last time go.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 200_000
 #: A shard is closed when it has so many ids or documents.
 SHARD_IDS, SHARD_DOCS = 1 << 26, 1 << 20
 #: Bytes of text that are encoded at a time.
@@ -113,21 +113,25 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     # what the normaliser and the pre-tokenizer do anyway: ASCII lower case, a cut between a letter and a sign
     plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-z])([!-&(-/:-@\[-`{-~])", r"\1 \2")
     words = pc.ascii_split_whitespace(plain)
+    del plain
     flat = words.flatten().dictionary_encode()
-    counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-    distinct = flat.dictionary.to_pylist()
-    pieces = _word_ids(distinct, tokenizer, known)
-    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+    edges = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    del words
+    pieces = _word_ids(flat.dictionary.to_pylist(), tokenizer, known)
+    # a slice has fewer than 2**31 ids
+    lengths = np.fromiter(map(len, pieces), np.int32, len(pieces)) // np.int32(4)
     pool = np.frombuffer(b"".join(pieces), np.uint32)
-    begins = np.concatenate([[0], np.cumsum(lengths)])[:-1] if pieces else np.zeros(0, np.int64)
-    which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    n = lengths[which] if len(which) else np.zeros(0, np.int64)
-    ends = np.cumsum(n)
-    total = int(ends[-1]) if len(ends) else 0
-    ids = pool[np.repeat(begins[which] - (ends - n), n) + np.arange(total)] if total else np.zeros(0, np.uint32)
-    edges = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    begins = np.cumsum(lengths, dtype=np.int32) - lengths
+    which = flat.indices.to_numpy(zero_copy_only=False)
+    del pieces, flat
+    n = lengths[which]
+    ends = np.cumsum(n, dtype=np.int32)
+    at = np.repeat(begins[which] - (ends - n), n)
+    at += np.arange(len(at), dtype=np.int32)
+    ids = pool[at]
     word_ends = np.concatenate([[0], ends])
     per_text = word_ends[edges[1:]] - word_ends[edges[:-1]]
+    del which, n, ends, at
     if whole.any():
         offsets = np.concatenate([[0], np.cumsum(per_text)])
         parts = [ids[offsets[i] : offsets[i + 1]] for i in range(len(column))]
@@ -143,6 +147,14 @@ def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int) -> tuple[np.nda
     return np.insert(ids, np.cumsum(per_text), np.uint32(end_id)), per_text + 1
 
 
+def _released(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts, with freed memory given back at every eighth."""
+    for i, part in enumerate(parts):
+        yield part
+        if i % 8 == 7:
+            release_memory()
+
+
 class _Shard:
     """The files of a shard that is being written."""
 
@@ -177,7 +189,7 @@ def _write_shards(folder: str, path: str, end_id: int, percentile: float):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, shard, done = TaskContext.get().partitionId(), 0, None, []
         try:
-            for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
+            for batch in _released(part for whole in batches for part in slices(whole, "text", SLICE)):
                 if shard is None:
                     shard = _Shard(f"{folder}/shard-{part:05d}-{number:04d}", percentile)
                 ids, counts = with_end(*encode_texts(batch.column("text"), path), end_id)
@@ -185,7 +197,6 @@ def _write_shards(folder: str, path: str, end_id: int, percentile: float):
                 if shard.full():
                     done.append((part, number, *shard.close()))
                     shard, number = None, number + 1
-                release_memory()
             if shard is not None:
                 done.append((part, number, *shard.close()))
                 shard = None
@@ -212,7 +223,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str | None = N
         .sortWithinPartitions("doc_id", "k")
         .select("doc_id", "text")
     )
-    with small_batches(spark, 1000):
+    with small_batches(spark, 4000):
         shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "part long, number long, path string, docs long, ids long").collect()
     rows, start = [], 0
     for r in sorted(shards, key=lambda r: (r["part"], r["number"])):
