@@ -299,7 +299,7 @@ def test_mix_meets_its_targets(spark):
     assert sum(x[1] for x in by.values()) == pytest.approx(1.5 * total)
     again = mixing.mix(df.repartition(5), bucket_rows=64).collect()
     assert sorted((r.doc_id, r.copies) for r in got) == sorted((r.doc_id, r.copies) for r in again)
-    mixed = mixing.mixed_documents(df)
+    mixed = mixing.mixed_documents(df, bucket_rows=64)
     assert mixed.columns == df.columns and sum(x[0] for x in by.values()) == sum(len((r.text or "").split()) for r in mixed.collect())
     assert mixing.mix(df.limit(0)).collect() == [] and mixing.mixed_documents(df.limit(0)).collect() == []
 

@@ -160,6 +160,62 @@ def test_swapping_identities_lowers_neutral_mentions(spark):
     assert with_swap[0] < without[0] and with_swap[2] > 0.5
 
 
+def test_swaps_act_on_the_querys_own_data(spark):
+    """sf0.01 with mentions of groups, most of them in toxic documents: neutral mentions fall, toxic documents stay."""
+    docs = table(spark, SF, "documents").join(table(spark, SF, "labels").where("toxic in (0, 1)"), "doc_id").where(~held_out(F.col("doc_id")))
+    rng = random.Random(5)
+    rows = []
+    for r in docs.select("doc_id", "text", "toxic").orderBy("doc_id").collect():
+        words = (r.text or "").split()
+        if rng.random() < (0.9 if r.toxic else 0.02):
+            for term in rng.sample(["muslims", "jews", "femmes", "immigrants"], 2):
+                words.insert(rng.randint(0, len(words)), term)
+            words = [w for w in words if not (r.toxic and rng.random() < 0.5 and len(w) < 12)]
+        rows.append((r.doc_id, " ".join(words), r.toxic))
+    named = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    plain, kept = toxicity.fit(named, named, swap=0.0), toxicity.fit(named, named, swap=30.0)
+    assert kept.swapped == plain.swapped > 20 and toxicity.fit(docs, docs).swapped == 0
+    neutral = [t for _, t, k in rows if not k][:100]
+    probe = pa.array([f"{t} the muslims and the jews" for t in neutral])
+    assert kept.scores(probe).mean() < 0.5 * plain.scores(probe).mean()
+    toxic = pa.array([t for _, t, k in rows if k])
+    assert (kept.scores(toxic) >= toxicity.THRESHOLD).mean() > 0.8
+
+
+def test_swapped_texts_and_shared_features():
+    group = [["muslims", "jews", "hindus"], ["men", "women"]]
+    assert toxicity.swapped_texts("The Muslims, men!", group) == ["The jews, men!", "The hindus, men!", "The Muslims, women!"]
+    assert toxicity.swapped_texts("nobody", group) == []
+    # the other term is there already: nothing comes, the term itself goes
+    x, n = toxicity.swaps([[np.array([1, 4], "<u2").tobytes(), np.array([1, 4, 7], "<u2").tobytes()], [np.array([1, 4], "<u2").tobytes()], []], 9)
+    assert n.tolist() == [1.5, 0.5] and x[0].tolist() == [0, 0, 0, 0, -1, 0, 0, 0, 0] and x[1, 7] == 1
+
+
+def test_toxicity_scores_equal_a_plain_sum(spark):
+    """Every document of sf0.001: the sum over its own words and beginnings, one by one; and the fit is a minimum."""
+    model = toxicity.fit(labelled(spark), labelled(spark))
+    known = dict(zip(model.vocabulary.tolist(), model.weights.tolist()))
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.001", "documents").collect()] + ["scum word1 muslims", None]
+    for text, got in zip(texts, model.scores(pa.array(texts)).tolist()):
+        own = set()
+        for w in toxicity._WORDS.findall(text or ""):
+            own |= set(toxicity.features(pa.array([w]))[0].ravel().tolist()) - {0}
+        assert got == pytest.approx(1 / (1 + math.exp(-model.bias - sum(known.get(f, 0.0) for f in own))), abs=1e-6)
+    rng = np.random.default_rng(4)
+    x, y, w = rng.integers(0, 2, (80, 5)).astype(np.float32), rng.integers(0, 2, 80).astype(np.float32), np.full(80, 1 / 80, np.float32)
+    changes, times = np.array([[1, -1, 0, 0, 0]], np.float32), np.array([20], np.float32)
+    theta, bias = toxicity.train(x, y, w, changes, times, ridge=0.01, steps=3000)
+
+    def loss(t, b):
+        p = 1 / (1 + np.exp(-(x @ t + b)))
+        return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() + 0.01 * (t @ t) + 20 / 80 * ((changes @ t) ** 2).sum()
+
+    best = loss(theta, bias)
+    for _ in range(200):
+        step = rng.normal(size=6) * 0.02
+        assert best <= loss(theta + step[:5], bias + step[5]) + 1e-5
+
+
 def test_toxicity_edge_cases(spark):
     data = labelled(spark)
     model = toxicity.fit(data, data.select("doc_id", "toxic").union(spark.createDataFrame([(None, 1), (5, None), (6, 7)], "doc_id long, toxic int")))

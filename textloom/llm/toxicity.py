@@ -1,11 +1,13 @@
 """Toxicity by a counterfactually regularised linear classifier.
 
 Features of a text are its words and the words' first 4, 5 and 6 bytes, each at
-most once.  A bounded sample of labelled rows fits a logistic regression; each
-labelled text that names an identity is also thought of with the term swapped for
-others of its group, and the squared change of the score is penalised, so that a
-neutral mention of a group does not count as toxic because such mentions were
-frequent in toxic examples.
+most once.  A bounded sample of labelled rows fits a logistic regression.  Each
+labelled text that names an identity is also read with the term swapped for each
+other of its group, everywhere in the text, and the squared changes of its score
+are penalised, so that a neutral mention of a group does not count as toxic
+because such mentions were frequent in toxic examples.  The changes are those of
+the swapped text's own features: a word or a beginning that other words of the
+text share stays.  ``Model.swapped`` tells how many texts were swapped.
 
 The sample: at most TRAIN_ROWS rows, half of them toxic if there are as many,
 those with the least hashes of their ids; weights restore the share of toxic rows
@@ -22,6 +24,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held_out, table
+from .common import LOWER, UPPER, Scratch, held_out, table
 from .shingles import mix, slices, string_buffers, whole_words, word_hashes
 
 TRAIN_ROWS = 6000
@@ -54,6 +57,7 @@ IDENTITIES = [
 #: Words here are runs of letters and digits: all other ASCII bytes are gaps.
 GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _WIDTH = 1 + len(PREFIXES)
+_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def _word_features(starts, ends, total, inverse):
@@ -98,12 +102,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ones), pa.array(both - ones)], names=["feature", "n1", "n0"])
 
 
-def _select(vocabulary: np.ndarray):
+_WORDS = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def swapped_texts(text: str, identities: list[list[str]]) -> list[str]:
+    """The text with one identity term that it names swapped for another of its group, for all of both."""
+    present = {w.translate(_LOWER) for w in _WORDS.findall(text)}
+    out = []
+    for group in identities:
+        for term in group:
+            if term in present:
+                for other in group:
+                    if other != term:
+                        out.append(_WORDS.sub(lambda m: other if m[0].translate(_LOWER) == term else m[0], text))
+    return out
+
+
+def _select(vocabulary: np.ndarray, identities: list[list[str]]):
+    """(toxic, at, changes): places of a text's features in the vocabulary, and for each swap those that go and come."""
+
+    def places(x: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.isin(vocabulary, x)).astype("<u2")
+
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                at = [np.flatnonzero(np.isin(vocabulary, x)).astype("<u2").tobytes() for x in _text_features(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(at, pa.binary())], names=["toxic", "at"])
+                at = [places(x) for x in _text_features(batch.column("text"))]
+                changes = []
+                for own, text in zip(at, batch.column("text").to_pylist()):
+                    mine = []
+                    for other in swapped_texts(text or "", identities):
+                        new = places(_text_features(pa.array([other]))[0])
+                        gone, come = np.setdiff1d(own, new), np.setdiff1d(new, own)
+                        mine.append(np.concatenate([[len(gone)], gone, come]).astype("<u2").tobytes())
+                    changes.append(mine)
+                columns = [batch.column("toxic"), pa.array([x.tobytes() for x in at], pa.binary()), pa.array(changes, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["toxic", "at", "changes"])
 
     return select
 
@@ -113,6 +147,8 @@ class Model:
     vocabulary: np.ndarray  # sorted hashes
     weights: np.ndarray
     bias: float
+    #: labelled texts that name an identity, and so were swapped
+    swapped: int = 0
 
     def scores(self, column: pa.Array) -> np.ndarray:
         found, bounds = features(column)
@@ -132,26 +168,18 @@ class Model:
             return 1 / (1 + np.exp(-logit))
 
 
-def swaps(x: np.ndarray, vocabulary: np.ndarray, identities: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Changes of features by swapping one identity term for another, and how many texts of ``x`` ask for each."""
-    changes, times = [], []
-    for group in identities:
-        terms = [np.isin(vocabulary, term_features(t)).astype(np.float32) for t in group]
-        words = [np.flatnonzero(vocabulary == mix_word(t)) for t in group]
-        for i, (a, at) in enumerate(zip(terms, words)):
-            n = int(x[:, at[0]].sum()) if len(at) else 0
-            for j, b in enumerate(terms):
-                if n and i != j:
-                    changes.append(b - a)
-                    times.append(n / (len(group) - 1))
-    if not changes:
-        return np.zeros((0, len(vocabulary)), np.float32), np.zeros(0, np.float32)
-    return np.array(changes, np.float32), np.array(times, np.float32)
-
-
-def mix_word(term: str) -> np.uint64:
-    """The feature of the whole word."""
-    return features(pa.array([term]))[0][0, 0]
+def swaps(changes: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct changes of features, and how many texts ask for each (a text's swaps share its one vote)."""
+    times: dict[bytes, float] = {}
+    for mine in changes:
+        for c in mine:
+            times[c] = times.get(c, 0.0) + 1 / len(mine)
+    out = np.zeros((len(times), size), np.float32)
+    for row, c in zip(out, times):
+        x = np.frombuffer(c, "<u2")
+        row[x[1 : 1 + x[0]]] = -1
+        row[x[1 + x[0] :]] = 1
+    return out, np.fromiter(times.values(), np.float32, len(times))
 
 
 def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, changes: np.ndarray, times: np.ndarray, *, ridge: float = RIDGE, swap: float = SWAP, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -197,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabular
     best = counts.where("n1 + n0 >= 3").where(F.expr(g) >= LEAST_G).orderBy(F.expr(g).desc(), "feature").limit(vocabulary).select("feature").collect()
     terms = [term_features(t) for group in identities for t in group]
     words = np.unique(np.concatenate([np.array([r["feature"] for r in best], np.int64).view(np.uint64), *terms]))
-    got = chosen.mapInArrow(_select(words), "toxic int, at binary").collect()
+    got = chosen.mapInArrow(_select(words, identities), "toxic int, at binary, changes array<binary>").collect()
     scratch.drop("labels", "sample", "chosen")
     y = np.array([r["toxic"] for r in got], np.float32)
     if len(set(y.tolist())) < 2:
@@ -206,8 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, vocabular
     for i, r in enumerate(got):
         x[i, np.frombuffer(bytes(r["at"]), "<u2")] = 1
     weight = np.where(y == 1, share / half[1], (1 - share) / half[0]).astype(np.float32)
-    theta, bias = train(x, y, weight, *swaps(x, words, identities), swap=swap)
-    return Model(words, theta, bias)
+    changes = [[bytes(c) for c in r["changes"]] for r in got]
+    theta, bias = train(x, y, weight, *swaps(changes, len(words)), swap=swap)
+    return Model(words, theta, bias, sum(map(bool, changes)))
 
 
 def _score(model: Model, threshold: float):
