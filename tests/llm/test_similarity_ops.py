@@ -110,17 +110,16 @@ def test_shingles_of_long_texts_do_not_depend_on_pieces(monkeypatch):
 
 
 def brute_topk(rows, k):
-    vectors = {}
+    vectors = []
     for i, v in rows:
         if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
             continue
         q = [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v]
-        if i not in vectors or q < vectors[i]:
-            vectors[i] = q
+        vectors.append((i, q))
     out = []
-    for i, v in vectors.items():
+    for i, v in vectors:
         if i % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in vectors.items() if j != i and len(w) == len(v))
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in vectors if j != i and len(w) == len(v))
             out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -138,6 +137,27 @@ def test_topk_equals_brute_force(spark, spread):
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == brute_topk(rows, 10)
 
 
+def test_topk_keeps_repeated_rows(spark):
+    rows = [(100, [3.0, 1.0]), (5, [9.0, 0.0]), (5, [2.0, 0.0]), (7, [2.0, 0.0]), (7, [2.0, 0.0]), (100, [0.0, 1.0])]
+    v = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = [(r.vec_id, r.score) for r in topk_search.topk_search(v, v.where("id = 100"), k=20).orderBy("rank").collect()]
+    want = sorted(((-sum(a * b for a, b in zip(x, y)), i) for q, x in rows if q == 100 for i, y in rows if i != 100))
+    assert got == [(i, -s) for s, i in want] and len(got) == 8
+
+
+def test_topk_of_wide_values_walks_the_tree(spark):
+    """Scores between 2**53 and 2**63, and ones beyond 64 bits, against Python integers."""
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-(10**s), 10**s)) for _ in range(6)]) for i, s in ((i, rng.choice([3, 8, 9, 12])) for i in range(900))]
+    tree = topk_search.Tree(np.arange(900), np.array([v for _, v in rows]), leaf=16)
+    ids = np.arange(0, 900, 50)
+    found = dict(tree.search(ids, tree_rows := np.array([rows[i][1] for i in ids]), np.full(len(ids), -np.inf), 7))
+    assert len(found) == len(tree_rows)
+    for q, i in enumerate(ids.tolist()):
+        exact = sorted(((-max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(rows[i][1], v)))), j) for j, v in rows if j != i))
+        assert found[q] == [(-s, j) for s, j in exact[:7]]
+
+
 def test_topk_wide_and_empty(spark):
     rows = [(0, [1e30, 1.0]), (1, [1e30, 2.0]), (2, [-1e30, 0.0]), (3, [3.0e9, 7.0])]
     df = spark.createDataFrame(rows, "id long, vector array<double>")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -57,6 +58,8 @@ def shared_root(spark: SparkSession) -> str:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = made.get() if made.isDefined() else None
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="textloom-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

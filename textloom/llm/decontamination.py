@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP, LOWER, UPPER, Scratch, table
+from .common import GAP, LOWER, UPPER, Scratch, fresh, table
 
 _WHITE = " \t\n\x0b\x0c\r"
 
@@ -113,10 +113,11 @@ def contained_items(docs: DataFrame, items: DataFrame, *, width: int = 5, percen
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    bad = contained_items(docs, items, **how).select(F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_key")).distinct()
+    bad_id, bad_key = fresh(docs, "bad_id", "bad_key")
+    bad = contained_items(docs, items, **how).select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
     bad = Scratch(docs.sparkSession, "contaminated").table(bad, "bad")
     key = F.xxhash64(F.col("text").cast("string"))
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad_id")) & (key == F.col("__bad_key")), "left_anti").select(*docs.columns)
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)) & (key == F.col(bad_key)), "left_anti").select(*docs.columns)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_batches, table
+from .common import Scratch, fresh, small_batches, table
 from .components import connected_components
 from .shingles import release_memory, shingle_sets, slices
 
@@ -382,8 +382,10 @@ def _jaccard_join(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     # inverted lists of prefixes that have two members or more
     postings = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
-    lists = postings.selectExpr("token", "pos", "cls", "n", "min(cls) over (partition by token) low", "count(*) over (partition by token) df").where("df > 1")
-    lists = scratch.table(lists, "lists")
+    # counted before the shuffle; a list that is hot is split where its rows meet its count, as both are written or read anew
+    counts = postings.groupBy(F.col("token").alias("t")).agg(F.min("cls").alias("low"), F.count(F.lit(1)).alias("df")).where("df > 1")
+    counts = scratch.table(counts, "counts")
+    lists = scratch.table(postings.join(counts, F.col("token") == F.col("t")).drop("t"), "lists")
 
     # families: a set with frequent shingles in its prefix has little else; it goes with its longest list's first set,
     # any other with the set that it shares most with
@@ -407,6 +409,8 @@ def _jaccard_join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     pairs = scratch.table(pairs.where(f"{bound} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b"), "pairs")
 
     sizes = families.join(classes.select("cls", "n"), "cls").groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")).where("members > 1")
+    # written, so that the join by family reads two shuffles and a hot family can be split
+    sizes = scratch.table(sizes, "sizes")
     members = families.join(sizes, "family").selectExpr("cls", "family", f"greatest(ceil(members / {FAMILY_BLOCK}), ceil(shingles / {FAMILY_SHINGLES})) blocks")
     members = scratch.table(members, "members")
 
@@ -430,7 +434,7 @@ def _jaccard_join(docs: DataFrame, width: int, percent: int) -> DataFrame:
     known = scratch.table(known.selectExpr("digest", "rep", "copies", "coalesce(label, cls) component", "coalesce(links, 0) links"), "known")
     least = known.groupBy("component").agg(F.min("rep").alias("component_id"))
     known = scratch.table(known.join(least, "component").drop("rep"), "classified")
-    scratch.drop("lists", "sets", "families1", "families2", "families3", "members", "inside", "across", "met", "pairs", "known", "classes", "edges")
+    scratch.drop("counts", "lists", "sizes", "sets", "families1", "families2", "families3", "members", "inside", "across", "met", "pairs", "known", "classes", "edges")
     own = base.select("doc_id", "text_key", "n_shingles", "digest")
     result = own.join(known, "digest", "left").selectExpr(
         "doc_id", "text_key", "n_shingles",
@@ -448,11 +452,12 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without all but one row of each component: the row of the smallest id; rows without shingles stay."""
     joined = jaccard_join(docs, **how)
     kept = joined.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("x"))
-    kept = kept.select(F.col("x.doc_id").alias("__kept_id"), F.col("x.text_key").alias("__kept_key"))
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
+    kept_id, kept_key, key = fresh(docs, "kept_id", "kept_key", "text_key")
+    kept = kept.select(F.col("x.doc_id").alias(kept_id), F.col("x.text_key").alias(kept_key))
+    keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    single = keyed.where(has_words).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key")), "left_semi")
-    single = single.dropDuplicates(["doc_id", "__text_key"])
+    single = keyed.where(has_words).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key)), "left_semi")
+    single = single.dropDuplicates(["doc_id", key])
     return single.unionByName(keyed.where(~has_words)).select(*docs.columns)
 
 

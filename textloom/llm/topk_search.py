@@ -11,17 +11,19 @@ below the k-th score so far.
 That k-th score travels: queries are searched in one shard first, and the k-th
 score found there goes with them to all other shards, where nodes, or the whole
 tree, that cannot reach it are never opened.  Scores are exact: components are
-integers, products are taken in float64 where they cannot pass 2**53, else in
-Python integers.
+integers, products are taken in float64 where they cannot pass 2**53; beyond it
+the boxes' bounds are raised by their rounding error, and the scores of the leaves
+that are opened are taken in Python integers.
 
 Queries are dealt out in blocks; one task holds a shard's tree and one bounded
 group of blocks.
 
 Defined results: a vector that is null, empty, or holds a null or a component
 that is not finite takes no part, nor does one with a null id; vectors are
-compared with those of their own length; rows that repeat an id are one vector,
-that with the least components; scores beyond 64 bits are clamped; an empty table
-gives no rows.
+compared with those of their own length; rows that repeat an id are vectors of
+their own (as candidates each has its place; as queries they share one list of
+answers), and none is a candidate for its id; scores beyond 64 bits are clamped;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,17 +43,18 @@ SHARD_ROWS = 8192
 LEAF_ROWS = 64
 #: Queries of a block, and blocks that one task holds beside a tree.
 BLOCK_ROWS, BLOCKS_AT_ONCE = 64, 64
+TOP = 2**63 - 1
 
 
 def quantize(vector: Column, scale: int = 1024) -> Column:
     """floor(scale * x) of every component, as doubles that are integers; null if the vector takes no part."""
-    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
-    return F.when(vector.isNotNull() & (F.size(vector) > 0) & fine, whole)
-
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(float(scale)) * x.cast("double")) != float("inf")))
+    def floor(x: Column) -> Column:
+        # a double of 2**52 or more is whole
+        return F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)
 
-def _exact(x: np.ndarray) -> bool:
-    return bool(len(x) == 0 or np.abs(x).max() < 2.0**53)
+    whole = F.transform(vector, lambda x: floor(F.lit(float(scale)) * x.cast("double")))
+    return F.when(vector.isNotNull() & (F.size(vector) > 0) & fine, whole)
 
 
 class Tree:
@@ -92,12 +95,15 @@ class Tree:
         """Of each query, the up to k (score, id) of at least its floor, without its own id."""
         if not self.left:
             return
-        if self.limit * (float(np.abs(queries).max()) if len(queries) else 0.0) * self.points.shape[1] >= 2.0**53:
-            yield from self._wide(query_ids, queries, floors, k)
-            return
-        bounds = self.bounds(queries)
+        bounds, floors = self.bounds(queries), np.asarray(floors, np.float64)
+        wide = self.limit * (float(np.abs(queries).max()) if len(queries) else 0.0) * self.points.shape[1] >= 2.0**53
+        if wide:
+            # more than the rounding of any order of the sums
+            bounds += np.abs(queries) @ np.maximum(np.abs(self.low), np.abs(self.high)).T * (self.points.shape[1] * 2.0**-50)
+            bounds = np.nan_to_num(bounds, nan=np.inf, posinf=np.inf, neginf=-np.inf)
         for q in np.flatnonzero(bounds[:, 0] >= floors).tolist():
             promise, vector, own, floor = bounds[q].tolist(), queries[q], int(query_ids[q]), float(floors[q])
+            exact = [int(x) for x in vector] if wide else []
             best: list[tuple[float, int]] = []  # the worst first: (score, -id)
             heap = [(-promise[0], 0)]
             while heap:
@@ -110,9 +116,14 @@ class Tree:
                             heapq.heappush(heap, (-promise[child], child))
                     continue
                 a, b = self.begin[node], self.end[node]
-                scores = self.points[a:b] @ vector
-                for i in np.flatnonzero(scores >= floor).tolist():
-                    one = (float(scores[i]), -int(self.ids[a + i]))
+                if wide:
+                    scores = [max(-TOP - 1, min(TOP, sum(x * int(y) for x, y in zip(exact, row)))) for row in self.points[a:b].tolist()]
+                    those = range(b - a)
+                else:
+                    scores = self.points[a:b] @ vector
+                    those = np.flatnonzero(scores >= floor).tolist()
+                for i in those:
+                    one = (scores[i] if wide else float(scores[i]), -int(self.ids[a + i]))
                     if one[1] == -own:
                         continue
                     if len(best) < k:
@@ -120,38 +131,27 @@ class Tree:
                     elif one > best[0]:
                         heapq.heapreplace(best, one)
                 if len(best) == k:
-                    floor = max(floor, best[0][0])
+                    # a float at or below the k-th score
+                    floor = max(floor, float(best[0][0]) if not wide else np.nextafter(float(best[0][0]), -np.inf))
             yield q, [(int(s), -i) for s, i in sorted(best, reverse=True)]
 
-    def _wide(self, query_ids, queries, floors, k):
-        """The same where products pass 2**53: Python integers, clamped to 64 bits."""
-        rows = [[int(x) for x in p] for p in self.points]
-        top, ids = 2**63 - 1, self.ids.tolist()
-        for q in range(len(queries)):
-            vector = [int(x) for x in queries[q]]
-            scored = ((max(-top - 1, min(top, sum(a * b for a, b in zip(vector, r)))), -i) for r, i in zip(rows, ids) if i != query_ids[q])
-            yield q, [(s, -i) for s, i in heapq.nlargest(k, (x for x in scored if x[0] >= floors[q]))]
+
+def _sorted(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors in order of both, so that a task that runs again makes the same bytes."""
+    ids, vectors = pdf["id"].to_numpy(np.int64), np.array(pdf["vector"].tolist(), np.float64).reshape(len(pdf), -1)
+    order = np.lexsort((*vectors.T[::-1], ids))
+    return ids[order], vectors[order]
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     first = pdf.iloc[0]
-    vectors: dict[int, list[float]] = {}
-    for i, v in zip(pdf["id"].tolist(), pdf["vector"]):
-        if i not in vectors or tuple(v) < tuple(vectors[i]):
-            vectors[i] = v
-    ids = np.fromiter(vectors, np.int64, len(vectors))
-    tree = Tree(ids, np.array([vectors[i] for i in ids.tolist()], np.float64).reshape(len(ids), -1))
-    return pd.DataFrame({"dim": [first["dim"]], "shard": [first["shard"]], "tree": [pickle.dumps(tree)]})
+    return pd.DataFrame({"dim": [first["dim"]], "shard": [first["shard"]], "tree": [pickle.dumps(Tree(*_sorted(pdf)))]})
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
     first = pdf.iloc[0]
-    vectors: dict[int, list[float]] = {}
-    for i, v in zip(pdf["id"].tolist(), pdf["vector"]):
-        if i not in vectors or tuple(v) < tuple(vectors[i]):
-            vectors[i] = v
-    ids = np.array(sorted(vectors), np.int64)
-    packed = pickle.dumps((ids, np.array([vectors[i] for i in ids.tolist()], np.float64), np.full(len(ids), -np.inf)))
+    ids, vectors = _sorted(pdf)
+    packed = pickle.dumps((ids, vectors, np.full(len(ids), -np.inf)))
     return pd.DataFrame({"dim": [first["dim"]], "block": [first["block"]], "queries": [packed]})
 
 
@@ -167,7 +167,7 @@ def _search(k: int, propagate: bool):
             for q, answers in tree.search(ids, vectors, floors.copy(), k) if tree is not None else ():
                 found += [(int(ids[q]), i, s) for s, i in answers]
                 if len(answers) == k:
-                    floors[q] = max(floors[q], answers[-1][0])
+                    floors[q] = max(floors[q], np.nextafter(float(answers[-1][0]), -np.inf))
             again.append((block, pickle.dumps((ids, vectors, floors))))
         rows = [(q, i, s, None, None, None, None) for q, i, s in found]
         if propagate:
