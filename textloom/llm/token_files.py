@@ -45,7 +45,7 @@ CACHE_WORDS = 200_000
 #: A shard is closed when it has so many ids or documents.
 SHARD_IDS, SHARD_DOCS = 1 << 26, 1 << 20
 #: Bytes of text that are encoded at a time.
-SLICE = 1 << 22
+SLICE = 1 << 23
 #: The normaliser and the pre-tokenizer that texts may be cut into words for, and the beginning of special tokens.
 SPLITS_AT_SPACE = (
     {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -90,15 +90,19 @@ def _word_ids(words: list[str], tokenizer, known: list[dict[str, bytes]]) -> lis
     if len(known[0]) > CACHE_WORDS:
         known[:] = [{}, known[0]]
     young, old = known
+    out = list(map(young.get, words))
+    missing = [i for i, x in enumerate(out) if x is None]
     new = []
-    for w in [w for w in words if w not in young]:
+    for i in missing:
+        w = words[i]
         if w in old:
-            young[w] = old[w]
+            out[i] = young[w] = old[w]
         else:
-            new.append(w)
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        young[w] = array("I", e.ids).tobytes()
-    return list(map(young.__getitem__, words))
+            new.append(i)
+    if new:
+        for i, e in zip(new, tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)):
+            out[i] = young[words[i]] = array("I", e.ids).tobytes()
+    return out
 
 
 def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +121,7 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     flat = words.flatten().dictionary_encode()
     edges = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]).astype(np.int64)
     del words
-    pieces = _word_ids(flat.dictionary.to_pylist(), tokenizer, known)
+    pieces = _word_ids(flat.dictionary.to_numpy(zero_copy_only=False).tolist(), tokenizer, known)
     # a slice has fewer than 2**31 ids
     lengths = np.fromiter(map(len, pieces), np.int32, len(pieces)) // np.int32(4)
     pool = np.frombuffer(b"".join(pieces), np.uint32)
@@ -223,7 +227,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str | None = N
         .sortWithinPartitions("doc_id", "k")
         .select("doc_id", "text")
     )
-    with small_batches(spark, 4000):
+    with small_batches(spark, 5000):
         shards = ordered.mapInArrow(_write_shards(folder, tokenizer or default_tokenizer(), end_id, percentile), "part long, number long, path string, docs long, ids long").collect()
     rows, start = [], 0
     for r in sorted(shards, key=lambda r: (r["part"], r["number"])):
