@@ -246,3 +246,29 @@ def test_shortlist_scores_the_drug_without_its_dose(spark):
     # lexical 1 without the dose; aliases hold each other; 0.7 for the ingredient, less 0.05
     cosine = spark.range(1).select(sim.ngram_cosine(F.lit("metformin 500 mg"), F.lit("metformin"))).first()[0]
     assert r.score == pytest.approx(0.4 + 0.2 * 0.94 + 0.2 * cosine + 0.2 * 0.65 + 0.35 + 0.02)
+
+
+def test_cleaned_spans_and_drug_lines(spark):
+    rows = [
+        (lex.DRUG, "bệnh nhân dùng metformin 500 mg bid", "metformin 500 mg"), (lex.DRUG, "aspirin 81 mg po daily dose x", "aspirin 81 mg"), (lex.DRUG, "thêm heparin 5000\nvà", "heparin 5000"),
+        (lex.DRUG, "warfarin, cùng aspirin", "warfarin"), (lex.DRUG, "10 mg daily", None), (lex.DRUG, "81 mg", None), (lex.DRUG, " ", None), (lex.DRUG, "500", None),
+        (lex.DIAGNOSIS, " - với tăng huyết áp. ", "tăng huyết áp"), (lex.SYMPTOM, "  ho khan; ", "ho khan"), (lex.LAB_VALUE, " 14,43 ", "14,43"),
+    ]
+    got = spark.createDataFrame(rows, "type string, t string, want string").select("t", "want", mentions.cleaned(F.col("t"), F.col("type")).alias("s")).collect()
+    for r in got:
+        assert (r.s and r.s.text) == r.want, r
+        assert r.s is None or r.t[r.s.lead :].startswith(r.s.text)
+    lines = [("- aspirin 81 mg po", "aspirin 81 mg po"), ("- theo dõi", None), ("  - abc", None), ("- warfarin (đã ngừng)", "warfarin"), ("", None)]
+    drugs = spark.createDataFrame(lines, "t string, want string").select("t", "want", mentions._drug_of_line(F.col("t")).alias("s")).collect()
+    assert [(r.s and r.s.text, r.s and r.t.index(r.want) == r.s.start) for r in drugs] == [(w, w and True) for _, w in lines]
+
+
+def test_maps_by_indentation():
+    from textloom.sources.files import simple_yaml
+
+    text = "# head\na:\n  b: 1 # one\n  c:\n    d: 'x: y'\n    e: true\n\n  f: ~\ng: 2.5\nh:\ni: '#no'\n"
+    assert simple_yaml(text) == {"a": {"b": 1, "c": {"d": "x: y", "e": True}, "f": None}, "g": 2.5, "h": {}, "i": "#no"}
+    assert simple_yaml("") == {}
+    for bad in ("- a", "a: 1\n- b", "nothing"):
+        with pytest.raises(ValueError):
+            simple_yaml(bad)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ def _either(items: list[str]) -> str:
     return "|".join(re.escape(x).replace("'", "\\'") for x in items)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def normalize_space(text: Column) -> Column:
     """Blanks and dashes in one form, runs of white space as one blank, trimmed (STR-1)."""
     return F.trim(F.regexp_replace(F.translate(text, " \t‐‑‒–—−", "  ------"), r"\s+", " "))

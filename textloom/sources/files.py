@@ -173,24 +173,23 @@ def _scalar(text: str):
 
 def simple_yaml(text: str) -> dict:
     """Nested maps of scalars, by indentation; no lists."""
-    root: dict = {}
-    stack = [(-1, root)]
+    entries = []
     for raw in text.splitlines():
-        line = re.sub(r"(^|\s)#.*$", "", raw).rstrip()
-        if not line.strip():
-            continue
-        depth = len(line) - len(line.lstrip())
-        name, colon, value = line.strip().partition(":")
-        if not colon or name.startswith("- "):
+        m = re.fullmatch(r"(\s*)(?!- )([^:#]+?)\s*:(?:\s+(.*?))?\s*", re.sub(r"(?:^|(?<=\s))#.*", "", raw))
+        if m:
+            entries.append((len(m[1]), m[2], m[3] or ""))
+        elif re.sub(r"(?:^|(?<=\s))#.*", "", raw).strip():
             raise ValueError(f"not a map of scalars: {raw!r}")
-        while stack[-1][0] >= depth:
-            stack.pop()
-        if value.strip():
-            stack[-1][1][name.strip()] = _scalar(value)
-        else:
-            stack[-1][1][name.strip()] = inner = {}
-            stack.append((depth, inner))
-    return root
+
+    def block(rows: list[tuple[int, str, str]]) -> dict:
+        """The map of rows whose least indented ones are its keys; the rows below a key are its own block."""
+        if not rows:
+            return {}
+        heads = [i for i, r in enumerate(rows) if r[0] <= rows[0][0]]
+        parts = [rows[a:b] for a, b in zip(heads, [*heads[1:], len(rows)])]
+        return {p[0][1]: _scalar(p[0][2]) if p[0][2] else block(p[1:]) for p in parts}
+
+    return block(entries)
 
 
 def load_config(path: str) -> Config:
