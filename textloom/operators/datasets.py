@@ -20,8 +20,7 @@ def group_split(rows: DataFrame, group: str, *, seed: int = 13, shares: tuple[fl
     at least.  The rank is over distinct groups, not rows.
     """
     groups = rows.select(F.col(group).alias("__g")).distinct().withColumn("__h", _drawn(F.col("__g"), seed))
-    n = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
-    ranked = groups.withColumns({"__n": n, "__r": F.row_number().over(W.orderBy("__h", "__g"))})
+    ranked = _ranked(groups, "__h", "__g")
     dev, test = (F.when(F.col("__n") >= 3, F.greatest(F.lit(1), F.floor(F.col("__n") * s))).otherwise(F.lit(0)) for s in shares[1:])
     place = F.when(F.col("__r") <= F.col("__n") - dev - test, "train").when(F.col("__r") <= F.col("__n") - test, "dev").otherwise("test")
     return rows.join(ranked.select("__g", place.alias("split")), F.col(group).eqNullSafe(F.col("__g"))).drop("__g")
@@ -29,9 +28,24 @@ def group_split(rows: DataFrame, group: str, *, seed: int = 13, shares: tuple[fl
 
 def holdout(rows: DataFrame, key: str, *, ratio: float = 0.1, seed: int = 13) -> DataFrame:
     """``rows`` with ``split`` (train, dev): a hash-ranked share, one row at least in each (SPL-1)."""
-    ranked = rows.withColumns({"__r": F.row_number().over(W.orderBy(_drawn(F.col(key), seed), key)), "__n": F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))})
+    ranked = _ranked(rows.withColumn("__h", _drawn(F.col(key), seed)), "__h", key)
     dev = F.least(F.greatest(F.lit(1), F.floor(F.col("__n") * ratio)), F.col("__n") - 1)
-    return ranked.withColumn("split", F.when(F.col("__r") <= dev, "dev").otherwise("train")).drop("__r", "__n")
+    return ranked.withColumn("split", F.when(F.col("__r") <= dev, "dev").otherwise("train")).drop("__r", "__n", "__h")
+
+
+def _ranked(rows: DataFrame, digest: str, tie: str) -> DataFrame:
+    """``rows`` with ``__r``, their place in the order of a hexadecimal digest, and ``__n``, their number.
+
+    Rows are ranked within the 4,096 bands of the digest's first digits, behind
+    the counts of the bands before, so that no task orders more than a band.
+    """
+    banded = rows.withColumn("__band", F.substring(digest, 1, 3))
+    counts = banded.groupBy("__band").agg(F.count(F.lit(1)).alias("__k"))
+    whole = W.partitionBy(F.lit(0))  # over the bands
+    before = F.sum("__k").over(whole.orderBy("__band").rowsBetween(W.unboundedPreceding, -1))
+    counts = counts.select(F.col("__band").alias("__b"), F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__k").over(whole).alias("__n"))
+    place = F.col("__before") + F.row_number().over(W.partitionBy("__band").orderBy(digest, tie))
+    return banded.join(F.broadcast(counts), F.col("__band").eqNullSafe(F.col("__b"))).withColumn("__r", place).drop("__band", "__b", "__before")
 
 
 def support_examples(examples: DataFrame, most: int = 5) -> DataFrame:
@@ -90,6 +104,29 @@ def response() -> Column:
     return F.to_json(F.struct(F.col("gold_assertions").alias("assertions"), F.slice("gold_candidates", 1, 3).alias("candidates")))
 
 
+def code_labels(rows: DataFrame, kb: DataFrame, codes: str = "gold_candidates") -> DataFrame:
+    """``rows`` (id, system, codes) with ``labels`` (code, label in the order of the codes, null for unknown ones) and ``unmapped`` codes (JOIN-19)."""
+    each = rows.select("id", "system", F.posexplode(codes).alias("n", "code"))
+    named = each.join(kb.select("system", "code", "label"), ["system", "code"], "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "code", "label"))).alias("__x"))
+    none = F.array().cast("array<struct<n: int, code: string, label: string>>")
+    x = F.coalesce("__x", none)
+    labels = F.transform(x, lambda r: F.struct(r["code"].alias("code"), r["label"].alias("label")))
+    unmapped = F.transform(F.filter(x, lambda r: r["label"].isNull()), lambda r: r["code"])
+    return rows.join(named, "id", "left").withColumns({"labels": labels, "unmapped": unmapped}).drop("__x")
+
+
+def few_shot(examples: DataFrame, pool: DataFrame, *, k: int = 3, system: str = SYSTEM_PROMPT) -> DataFrame:
+    """id, messages: the system prompt, k support examples with their answers, then the question (SPL-4, STR-27)."""
+    told = pool.select(F.col("id").alias("support_id"), user_prompt().alias("question"), response().alias("answer"))
+    as_rows = lambda df: df.select("id", "type", "mention", "context", F.col("gold_candidates").alias("codes"))
+    support = support_for(as_rows(examples), as_rows(pool), k).join(told, "support_id")
+    shown = support.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "question", "answer"))).alias("__s"))
+    row = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    turns = F.flatten(F.transform(F.coalesce("__s", F.array().cast("array<struct<rank: int, question: string, answer: string>>")), lambda s: F.array(row("user", s["question"]), row("assistant", s["answer"]))))
+    joined = examples.join(shown, F.col("id") == F.col("query_id"), "left")
+    return joined.select("id", F.concat(F.array(row("system", F.lit(system))), turns, F.array(row("user", user_prompt()))).alias("messages"))
+
+
 def bundle_summary(rows: DataFrame) -> DataFrame:
     """split, type, n with subtotals (AGG-18): null is "all"."""
     return rows.rollup("split", "type").agg(F.count(F.lit(1)).alias("n"))

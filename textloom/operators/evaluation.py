@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..lexicon import clinical as lex
+from .validation import checked
 
 
 def prf(gold: DataFrame, predicted: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
@@ -92,11 +93,20 @@ REVIEW_ORDER = ["unmatched", "assertions", "diversity", "entities"]
 
 
 def review_rank(stats: DataFrame, most: int | None = None) -> DataFrame:
-    """Files in the order of review, numbered (TOP-6); ``most`` keeps the first."""
-    order = [F.desc(c) for c in REVIEW_ORDER] + [F.asc("doc_id")]
+    """Files in the order of review, numbered (TOP-6); ``most`` keeps the first.
+
+    Files of equal counts are ranked among themselves, behind the numbers of the
+    groups before, so that only the distinct counts meet in one task.
+    """
+    order = [F.desc(c) for c in REVIEW_ORDER]
     if most is not None:
-        stats = stats.orderBy(*order).limit(most)
-    return stats.withColumn("rank", F.row_number().over(W.orderBy(*order)))
+        stats = stats.orderBy(*order, "doc_id").limit(most)
+    groups = stats.groupBy(*REVIEW_ORDER).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before")
+    groups = groups.select(*[F.col(c).alias(f"__{c}") for c in REVIEW_ORDER], before)
+    joined = stats.join(groups, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in REVIEW_ORDER])
+    place = F.col("__before") + F.row_number().over(W.partitionBy(*REVIEW_ORDER).orderBy("doc_id"))
+    return joined.withColumn("rank", place.cast("int")).drop("__before", *[f"__{c}" for c in REVIEW_ORDER])
 
 
 def compare(base: DataFrame, changed: DataFrame, key: list[str]) -> DataFrame:
@@ -110,6 +120,29 @@ def compare(base: DataFrame, changed: DataFrame, key: list[str]) -> DataFrame:
     return rows.withColumn("change", change)
 
 
+def zip_positions(gold: DataFrame, predicted: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
+    """The n-th gold row of each key beside its n-th predicted row (JOIN-10): key, no, gold, predicted (structs of ``columns``).
+
+    A key with more rows on one side fails the query.
+    """
+    def numbered(df: DataFrame, name: str) -> DataFrame:
+        no = F.row_number().over(W.partitionBy(key).orderBy(*order))
+        return df.select(F.col(key), no.alias("no"), F.struct(*columns).alias(name))
+
+    both = numbered(gold, "gold").join(numbered(predicted, "predicted"), [key, "no"], "full_outer")
+    return checked(both, F.col("gold").isNotNull() & F.col("predicted").isNotNull(), "gold and predicted entities differ in number")
+
+
+def subset_report(pairs: DataFrame) -> DataFrame:
+    """type, n, same_type, same_assertions, same_codes, lost, spurious of zipped (type, assertions, candidates)."""
+    g, p = (lambda c: F.col(f"gold.{c}")), (lambda c: F.col(f"predicted.{c}"))
+    return pairs.groupBy(g("type").alias("type")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(g("type") == p("type")).alias("same_type"), F.count_if(F.array_sort(g("assertions")) == F.array_sort(p("assertions"))).alias("same_assertions"),
+        F.count_if(g("candidates") == p("candidates")).alias("same_codes"), F.count_if((F.size(g("candidates")) > 0) & (F.size(p("candidates")) == 0)).alias("lost"),
+        F.count_if((F.size(g("candidates")) == 0) & (F.size(p("candidates")) > 0)).alias("spurious"),
+    )
+
+
 def comparison_report(compared: DataFrame) -> DataFrame:
     """type, change, n (AGG-17)."""
     return compared.groupBy("type", "change").agg(F.count(F.lit(1)).alias("n"))

@@ -114,13 +114,39 @@ def select_codes(scored: DataFrame, by: list[str], *, least: float, band: Column
     return ranked.where((F.col("score") >= F.greatest(F.lit(least), F.col("best") - band)) & (F.col("rank") <= k)).drop("second", "best")
 
 
-def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55, abbreviations: dict[str, str] | None = None, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def best_per_code(scored: DataFrame, by: list[str], form: str) -> DataFrame:
+    """One row of each group and code: that of the best score, of equals that of the first form (AGG-12)."""
+    rest = [c for c in scored.columns if c not in (*by, "code")]
+    best = scored.groupBy(*by, "code").agg(F.max_by(F.struct(*rest), F.struct("score", (-F.col(form)).alias("n"))).alias("x"))
+    return best.select(*by, "code", "x.*")
+
+
+def embedding_top(queries: DataFrame, records: DataFrame, *, k: int, above: float | None = None, shares: int = SHARES) -> DataFrame:
+    """query, code, cosine, rank: the k records whose vectors are most like the query's (TOP-4, SIM-14).
+
+    ``queries`` has query and vector, ``records`` code and vector.  Records are
+    dealt into shares; every query meets every share, and each task hands on the k
+    best of its own.  Ties go by code; ``above`` drops those of at most so much.
+    """
+    asked = queries.select("query", F.col("vector").alias("__q"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("__share"))
+    dealt = records.select("code", F.col("vector").alias("__r"), F.pmod(F.xxhash64("code"), F.lit(shares)).cast("int").alias("__share"))
+    scored = asked.join(dealt, "__share").select("query", "code", sim.cosine(F.col("__q"), F.col("__r")).alias("cosine"), "__share")
+    if above is not None:
+        scored = scored.where(F.col("cosine") > above)
+    order = [F.desc("cosine"), F.asc("code")]
+    near = scored.withColumn("rank", F.row_number().over(W.partitionBy("query", "__share").orderBy(*order))).where(F.col("rank") <= k)
+    return near.select("query", "code", "cosine", F.row_number().over(W.partitionBy("query").orderBy(*order)).alias("rank")).where(F.col("rank") <= k)
+
+
+def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55, abbreviations: dict[str, str] | None = None, similarity: Callable[..., Column] = sim.ngram_cosine, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``mentions`` (type, text, clause_kind and any others) with codes, confidence and mode (DEC-2..4).
 
     Exact aliases settle a query with confidence 1; the rest are scored with
-    .45 lexical + .45 n-gram cosine (+ .1 structure, for drugs) + context.
+    .45 lexical + .45 n-gram cosine (+ .1 structure, for drugs) + context; a drug
+    is scored with and without its dose, and each code keeps the better score.
     Mentions of other types, too long ones and those in lab sections get none.
-    ``cut`` may write a step's rows, so that later steps do not plan it again.
+    ``similarity`` of two text columns may be an encoder's (SIM-14); ``cut`` may
+    write a step's rows, so that later steps do not plan it again.
     """
     system = F.when(F.col("type") == lex.DIAGNOSIS, "icd10").when(F.col("type") == lex.DRUG, "rxnorm")
     text = F.col("text")
@@ -136,13 +162,17 @@ def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55,
     settled = exact.groupBy("query", "system").agg(F.array_sort(F.collect_list(F.struct("rank", "code"))).alias("x")).selectExpr("query", "system", "x.code codes", "1.0D confidence", "'exact' mode")
     settled = cut(settled)
     rest = cut(queries.join(settled, ["query", "system"], "left_anti"))
-    pool = lexical_top(rest.select("query", "system").distinct(), kb, k=max(10 * k, 50))
+    bare = T.strip_last_strength(F.col("query"))
+    forms = F.when(F.col("kind") == lex.DRUG, F.array_distinct(F.filter(F.array("query", bare), lambda q: q != ""))).otherwise(F.array("query"))
+    forms = cut(rest.select("query", "system", "kind", "clause", F.posexplode(forms).alias("form_no", "form")))
+    pool = lexical_top(forms.select(F.col("form").alias("query"), "system").distinct(), kb, k=max(10 * k, 50))
     pool = best_alias(pool, kb).join(kb.select("system", "code", "label"), ["system", "code"])
-    pool = cut(pool)
-    pool = pool.withColumn("cosine", sim.ngram_cosine("query", "alias")).join(rest, ["query", "system"])
-    structure = F.when(F.col("kind") == lex.DRUG, 0.1 * sim.structured_match(F.col("query"), F.col("alias"))["score"]).otherwise(0.0)
-    raw = 0.45 * F.col("lexical") + 0.45 * F.col("cosine") + structure + sim.context_bonus(F.col("query"), F.col("alias"), F.col("kind"), F.col("clause"))
-    scored = cut(pool.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw))))
+    pool = cut(pool.withColumnRenamed("query", "form"))
+    pool = pool.withColumn("cosine", similarity("form", "alias")).join(forms, ["form", "system"])
+    structure = F.when(F.col("kind") == lex.DRUG, 0.1 * sim.structured_match(F.col("form"), F.col("alias"))["score"]).otherwise(0.0)
+    raw = 0.45 * F.col("lexical") + 0.45 * F.col("cosine") + structure + sim.context_bonus(F.col("form"), F.col("alias"), F.col("kind"), F.col("clause"))
+    scored = pool.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)))
+    scored = cut(best_per_code(scored, ["query", "system", "kind", "clause"], "form_no"))
     chosen = select_codes(scored, ["query", "system", "clause"], least=least, band=F.when(F.col("kind") == lex.DRUG, 0.05).otherwise(0.03), k=k)
     chosen = chosen.groupBy("query", "system", "clause").agg(F.array_sort(F.collect_list(F.struct("rank", "code"))).alias("x"), F.max("score").alias("confidence"))
     chosen = chosen.selectExpr("query", "system", "clause", "x.code codes", "confidence", "'scored' mode")
@@ -154,20 +184,23 @@ def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55,
     return out.drop("__q", "__s", "__c", "__kind", "codes", "system", "query")
 
 
-def shortlist(queries: DataFrame, kb: DataFrame, *, k: int = 10, least: float = 0.2) -> DataFrame:
+def shortlist(queries: DataFrame, kb: DataFrame, *, k: int = 10, least: float = 0.2, near: DataFrame | None = None, similarity: Callable[..., Column] = sim.ngram_cosine) -> DataFrame:
     """query, system, rank, code, label, score, source, matched_alias (SIM-10, SIM-11, A4).
 
-    The pool is exact hits and the lexical best; an exact hit adds .35, a
+    The pool is exact hits, the lexical best and, if given, ``near`` (query, system,
+    code), as ``embedding_top`` finds them; ``similarity`` may be an encoder's.  An exact hit adds .35, a
     strength that differs takes .12 away, and bare drug names prefer ingredients. The
     lexical part of every record is the greater of the query's and of that without its dose.
     """
     exact = exact_codes(queries, kb).select("query", "system", "code").withColumn("exact", F.lit(True))
     pool = lexical_top(queries, kb, k=max(6 * k, 30), least=least).drop("lexical")
+    if near is not None:
+        pool = pool.unionByName(near.select("query", "system", "code")).distinct()
     pool = pool.join(exact, ["query", "system", "code"], "full_outer").withColumn("exact", F.coalesce("exact", F.lit(False)))
     each = pool.join(aliases(kb), ["system", "code"])
     key = T.match_key(F.col("query"))
     s = sim.structured_match(F.col("query"), F.col("alias"))
-    each = each.withColumns({"cosine": sim.ngram_cosine("query", "alias"), "semantic": sim.shortlist_similarity(key, F.col("alias_key")), "s": s})
+    each = each.withColumns({"cosine": similarity("query", "alias"), "semantic": sim.shortlist_similarity(key, F.col("alias_key")), "s": s})
     drug = F.col("system") == "rxnorm"
     folded = each.groupBy("query", "system", "code", "exact").agg(
         F.max(F.struct("semantic", (-F.col("alias_no")).alias("n"), "alias")).alias("best"), F.max("cosine").alias("emb"), F.max("s.score").alias("structure"), F.max(F.col("s.mismatch")).alias("mismatch")

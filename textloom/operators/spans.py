@@ -112,3 +112,16 @@ def shift_spans(spans: DataFrame, offsets: DataFrame) -> DataFrame:
     """Spans of segments (root, no, start, end, ...) moved to the roots' texts (JOIN-18)."""
     moved = spans.join(offsets.select("root", "no", "offset"), ["root", "no"])
     return moved.withColumns({"start": F.col("start") + F.col("offset"), "end": F.col("end") + F.col("offset")}).drop("offset")
+
+
+def remapped(spans: DataFrame, segments: DataFrame, texts: DataFrame) -> DataFrame:
+    """Spans of segments as spans of the roots' texts, tested there (JOIN-18): root, no, start, end, text and ``sound``.
+
+    ``spans`` has root, no, start, end and text; ``segments`` root, no and segment;
+    ``texts`` root and text.  A span whose segment is nowhere, or whose text is not
+    found at its new place, is not sound.
+    """
+    moved = shift_spans(spans, locate_segments(segments, texts))
+    beside = moved.join(texts.select("root", F.col("text").alias("__t")), "root")
+    same = F.expr("substring(__t, start + 1, end - start)") == F.col("text")
+    return beside.withColumn("sound", F.coalesce(same & (F.col("start") < F.col("end")), F.lit(False))).drop("__t")

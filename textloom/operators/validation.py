@@ -35,6 +35,17 @@ def entity_problems(entities: DataFrame, docs: DataFrame, types: list[str] = lex
     return rows.withColumn("problem", found).where("problem is not null").drop("__t")
 
 
+def ner_problems(examples: DataFrame, types: list[str] = lex.ENTITY_TYPES) -> DataFrame:
+    """example_id, start, end, type, problem of the training entities that no model can learn (FLT-14).
+
+    ``examples`` has example_id, text and entities (start, end, type).
+    """
+    rows = examples.select("example_id", F.length("text").alias("__n"), F.explode("entities").alias("e")).select("example_id", "__n", "e.start", "e.end", "e.type")
+    sound = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.col("__n"))
+    problem = F.when(F.col("type").isNull() | ~F.col("type").isin(*types), "unknown type").when(~F.coalesce(sound, F.lit(False)), "bad span")
+    return rows.withColumn("problem", problem).where("problem is not null").drop("__n")
+
+
 def missing_outputs(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """doc_id, side: documents without output and outputs without document (FLT-12)."""
     a = inputs.select("doc_id").distinct().join(outputs.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("side", F.lit("no output"))
