@@ -21,9 +21,17 @@ COMMANDS = {
     "compare": ["base", "changed"], "package": ["output", "zip"], "bootstrap": ["input", "output", "target", "seed_gold?"], "review-rank": ["input", "output", "most?"],
     "prepare-dev-subset": ["input", "output", "target", "most"], "validate-reviews": ["reviews"], "review-to-train": ["reviews", "target"], "review-to-gold": ["reviews", "target"],
     "kb-from-xlsx": ["workbook", "target"], "build-standard-kb": ["icd_zip", "rxnorm_zip", "target"], "audit-kb": ["kb", "least?"], "semantic-datasets": ["input", "gold", "config", "target"],
+    "fixed-span-datasets": ["input", "gold", "config", "target"], "multi-agent": ["input", "entities", "config", "output"], "analyze-subset": ["gold", "output"],
+    "export-review-packet": ["input", "output", "target", "most"], "gold-files": ["reviews", "target"], "materialize": ["reviews", "first", "last", "texts", "spans?"],
+    "bootstrap-ner": ["reviews", "target"], "ner-labels": ["target"], "seed-aliases": ["gold", "kb", "target"],
 }
 
 
+def _base(spark: SparkSession, config: str):
+    c = files.load_config(config)
+    return files.knowledge_base(spark, c.knowledge_base.icd10_path, c.knowledge_base.rxnorm_path)
+
+
 def run(spark: SparkSession, command: str, a: argparse.Namespace) -> int:
     def show(df, most: int = 1000) -> int:
         for r in df.limit(most).toJSON().collect():
@@ -75,11 +83,32 @@ def run(spark: SparkSession, command: str, a: argparse.Namespace) -> int:
         report, ok = w.audit_kb(files.kb_json(spark, a.kb, "icd10"), int(a.least or 1000))
         print(json.dumps(report))
         return int(not ok)
-    elif command == "semantic-datasets":
-        c = files.load_config(a.config)
-        base = files.knowledge_base(spark, c.knowledge_base.icd10_path, c.knowledge_base.rxnorm_path)
+    elif command in ("semantic-datasets", "fixed-span-datasets"):
+        docs = files.texts(spark, a.input).select("doc_id", F.col("text"))
+        examples = w.semantic_examples if command == "semantic-datasets" else w.fixed_span_examples
+        w.write_bundle(examples(docs, files.entity_files(spark, a.gold), _base(spark, a.config)), a.target)
+    elif command == "multi-agent":
+        sinks.reset_folder(a.output)
+        docs = files.texts(spark, a.input).select("doc_id", F.col("text"))
+        print(sinks.write_entity_files(docs, w.multi_agent(spark, a.input, a.entities, _base(spark, a.config)), a.output))
+    elif command == "analyze-subset":
+        return show(w.analyze_subset(spark, a.gold, a.output))
+    elif command == "export-review-packet":
         docs = files.texts(spark, a.input).select("doc_id", F.col("text"))
-        w.write_bundle(w.semantic_examples(docs, files.entity_files(spark, a.gold), base), a.target)
+        rows = sinks.review_rows(docs, files.entity_files(spark, a.output))
+        print(json.dumps(sinks.export_review_packet(rows, w.rank_reviews(spark, a.input, a.output), int(a.most), a.target)))
+    elif command == "gold-files":
+        print(sinks.write_gold_files(files.reviews(spark, a.reviews), a.target))
+    elif command == "materialize":
+        print(sinks.materialize(files.reviews(spark, a.reviews), int(a.first), int(a.last), a.texts, a.spans))
+    elif command == "bootstrap-ner":
+        rows = sinks.gold_of_reviews(files.reviews(spark, a.reviews))
+        sinks.write_jsonl(rows, a.target, single=True)
+    elif command == "ner-labels":
+        w.dump(a.target, sinks.label_metadata())
+    elif command == "seed-aliases":
+        base = files.kb_json(spark, a.kb, "icd10")
+        sinks.write_jsonl(kb.alias_seed(files.entity_files(spark, a.gold), base, base), a.target, single=True)
     return 0
 
 

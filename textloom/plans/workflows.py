@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..lexicon import clinical as lex
-from ..operators import assertions, datasets, evaluation, graph, kb, linking, mentions, spans, structure, validation
+from ..operators import agents, assertions, datasets, evaluation, graph, kb, linking, mentions, spans, structure, validation
 from ..session import Scratch
 from ..sources import archives, files, sinks
 
@@ -137,33 +137,74 @@ def audit_kb(base: DataFrame, least: int = 1000) -> tuple[dict, bool]:
     return report, report["records"] >= least and not report["duplicates"] and not report["invalid"]
 
 
-def semantic_examples(docs: DataFrame, gold: DataFrame, base: DataFrame, *, width: int = 96, k: int = 10) -> DataFrame:
-    """id, doc_id, type, mention, start, end, assertions, gold_candidates, context, shortlist, split of coded gold entities (SPL-5)."""
-    rows = gold.where(F.col("type").isin(*lex.CODED_TYPES)).join(docs.select("doc_id", F.col("text").alias("whole")), "doc_id")
+def _examples(docs: DataFrame, rows: DataFrame, base: DataFrame, width: int, k: int, known_only: bool) -> DataFrame:
+    rows = rows.join(docs.select("doc_id", F.col("text").alias("whole")), "doc_id")
     rows = rows.withColumns({
-        "id": T.entity_id(F.col("doc_id").cast("string"), F.col("start"), F.col("end"), F.col("type")), "system": F.when(F.col("type") == lex.DIAGNOSIS, "icd10").otherwise("rxnorm"),
+        "id": T.entity_id(F.col("doc_id").cast("string"), F.col("start"), F.col("end"), F.col("type")),
+        "system": F.when(F.col("type") == lex.DIAGNOSIS, "icd10").when(F.col("type") == lex.DRUG, "rxnorm"),
         "context": T.context(F.col("whole"), F.col("start"), F.col("end"), width), "gold_candidates": T.candidate_codes(F.col("candidates")),
     })
-    ranked = linking.shortlist(rows.select(F.col("text").alias("query"), "system").distinct(), base, k=k)
+    rows = datasets.code_labels(rows, base)
+    ranked = linking.shortlist(rows.where("system is not null and trim(text) <> ''").select(F.col("text").alias("query"), "system").distinct(), base, k=k)
     item = F.struct("rank", "code", "label", "score", "source", "matched_alias")
-    lists = ranked.groupBy("query", "system").agg(F.array_sort(F.collect_list(item)).alias("ranked"))
-    joined = rows.join(lists, (rows["text"] == lists["query"]) & (rows["system"] == lists["system"]), "left")
+    lists = ranked.groupBy(F.col("query").alias("__q"), F.col("system").alias("__s")).agg(F.array_sort(F.collect_list(item)).alias("ranked"))
+    joined = rows.join(lists, (F.col("text") == F.col("__q")) & (F.col("system") == F.col("__s")), "left")
     empty = F.expr("cast(array() as array<struct<rank: int, code: string, label: string, score: double, source: string, matched_alias: string>>)")
+    gold = F.array_except("gold_candidates", "unmapped") if known_only else F.col("gold_candidates")
     out = joined.select(
-        "id", "doc_id", "type", F.col("text").alias("mention"), "start", "end", "assertions", F.col("assertions").alias("gold_assertions"), "gold_candidates", "context",
-        linking.with_gold(F.coalesce("ranked", empty), F.col("gold_candidates"), k).alias("shortlist"), T.group_key(F.col("type"), F.col("text"), F.col("gold_candidates")).alias("group"),
+        "id", "doc_id", "type", F.col("text").alias("mention"), "start", "end", "assertions", F.col("assertions").alias("gold_assertions"), "gold_candidates", "labels", "unmapped", "context",
+        linking.with_gold(F.coalesce("ranked", empty), gold, k).alias("shortlist"), T.group_key(F.col("type"), F.col("text"), F.col("gold_candidates")).alias("group"),
     )
     return datasets.group_split(out, "group")
 
 
-def write_bundle(examples: DataFrame, folder: str) -> None:
-    """Examples by split, fine-tuning rows and a summary (SPL-4)."""
+def semantic_examples(docs: DataFrame, gold: DataFrame, base: DataFrame, *, width: int = 96, k: int = 10) -> DataFrame:
+    """id, doc_id, type, mention, start, end, assertions, gold_candidates, labels, unmapped, context, shortlist, split of coded gold entities (SPL-5)."""
+    return _examples(docs, gold.where(F.col("type").isin(*lex.CODED_TYPES)), base, width, k, False)
+
+
+def fixed_span_examples(docs: DataFrame, gold: DataFrame, base: DataFrame, *, width: int = 96, k: int = 10) -> DataFrame:
+    """The same of all entities that can have assertions; only gold codes that the base knows join the shortlist (DEC-6, SPL-5)."""
+    return _examples(docs, gold.where(F.col("type").isin(*lex.ASSERTED_TYPES)), base, width, k, True)
+
+
+def unmapped_rows(examples: DataFrame) -> DataFrame:
+    """id, type, mention, code of gold codes that the base does not know (SPL-5)."""
+    return examples.select("id", "type", "mention", F.explode("unmapped").alias("code"))
+
+
+def write_bundle(examples: DataFrame, folder: str, *, shots: int = 3) -> None:
+    """Examples, fine-tuning rows by split, zero-shot and few-shot questions, unmapped codes and a summary (SPL-4)."""
     sinks.write_jsonl(examples, f"{folder}/examples")
+    train = examples.where("split = 'train'")
+    meta = F.struct("id", "type").alias("metadata")
     for split in ("train", "dev", "test"):
         own = examples.where(F.col("split") == split)
-        sinks.write_jsonl(own.select(datasets.messages(answer=datasets.response()).alias("messages"), F.struct("id", "type").alias("metadata")), f"{folder}/sft_{split}")
+        sinks.write_jsonl(own.select(datasets.messages(answer=datasets.response()).alias("messages"), meta), f"{folder}/sft_{split}")
+    asked = examples.where("split <> 'train'")
+    expected = F.struct(F.col("gold_assertions").alias("assertions"), F.col("gold_candidates").alias("candidates")).alias("expected")
+    sinks.write_jsonl(asked.select("id", datasets.messages().alias("messages"), expected, meta), f"{folder}/zero_shot")
+    shown = datasets.few_shot(asked, train, k=shots).join(asked.select("id", expected, meta), "id")
+    sinks.write_jsonl(shown, f"{folder}/few_shot")
+    sinks.write_jsonl(unmapped_rows(examples), f"{folder}/unmapped")
     sinks.write_jsonl(datasets.bundle_summary(examples), f"{folder}/summary", single=True)
 
 
+def multi_agent(spark: SparkSession, input_dir: str, entity_dir: str, base: DataFrame, generate=None) -> DataFrame:
+    """Assertions and codes for the spans of an entity folder (DEC-11)."""
+    docs, scratch = files.texts(spark, input_dir).select("doc_id", "text"), Scratch(spark, "agents")
+    order = Window.partitionBy("doc_id").orderBy("start", "end", "type", "text")
+    given = files.entity_files(spark, entity_dir).withColumn("ord", F.row_number().over(order))
+    clauses = scratch.cut(structure.clauses(docs, scratch.cut(structure.sections(docs))))
+    return agents.process(docs, given, clauses, base, abbreviations=lex.ABBREVIATIONS, generate=generate, cut=scratch.cut)
+
+
+def analyze_subset(spark: SparkSession, gold_dir: str, output_dir: str) -> DataFrame:
+    """Gold and predicted entities side by side by their place in each file, counted by type (JOIN-10)."""
+    order = ["start", "end", "type", "text"]
+    pairs = evaluation.zip_positions(files.entity_files(spark, gold_dir), files.entity_files(spark, output_dir), "doc_id", order, ["type", "assertions", "candidates"])
+    return evaluation.subset_report(pairs)
+
+
 def dump(path: str, value) -> None:
     Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2, default=str), encoding="utf-8")

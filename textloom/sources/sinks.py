@@ -28,25 +28,36 @@ def entity_lists(docs: DataFrame, entities: DataFrame) -> DataFrame:
     return joined.select("doc_id", F.transform(F.coalesce("x", F.array()), lambda r: r["e"]).alias("entities"))
 
 
-def _file_writer(folder: str, pretty: bool):
+def _file_writer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, at = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
         n = 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("json").to_pylist()):
-                body = json.dumps(json.loads(text), ensure_ascii=False, indent=2 if pretty else None)
-                with fs.open_output_stream(f"{at}/{doc}.json") as out:
-                    out.write(body.encode())
+            for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist()):
+                with fs.open_output_stream(f"{at}/{name}") as out:
+                    out.write((body or "").encode())
                 n += 1
         yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
 
     return write
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """A file for each row (name, body), written by the tasks into a shared folder; the number of files."""
+    if "://" not in folder:
+        Path(folder).mkdir(parents=True, exist_ok=True)
+    return rows.select("name", "body").mapInArrow(_file_writer(folder), "files long").agg(F.sum("files")).first()[0] or 0
+
+
+def _as_json(column: str, pretty: bool) -> Column:
+    """A column as JSON text, indented if ``pretty``."""
+    return F.to_json(column, {"pretty": "true"} if pretty else {})
+
+
 def write_entity_files(docs: DataFrame, entities: DataFrame, folder: str, *, pretty: bool = False) -> int:
     """One JSON array file for each document, written by the tasks into a shared folder (SNK-1); the number of files."""
-    rows = entity_lists(docs, entities).select(F.col("doc_id").cast("string").alias("doc_id"), F.to_json("entities").alias("json"))
-    return rows.mapInArrow(_file_writer(folder, pretty), "files long").agg(F.sum("files")).first()[0] or 0
+    rows = entity_lists(docs, entities).select(F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("name"), _as_json("entities", pretty).alias("body"))
+    return write_files(rows, folder)
 
 
 def reset_folder(folder: str) -> None:
@@ -83,6 +94,37 @@ def selected_reviews(reviews: DataFrame, ranked: DataFrame, most: int) -> DataFr
     return reviews.join(names, "file_name", "left_semi")
 
 
+def export_review_packet(reviews: DataFrame, ranked: DataFrame, most: int, folder: str) -> dict:
+    """Texts and predicted entities of the first files of a ranking, their review rows and a manifest, in a folder (SNK-8)."""
+    own = selected_reviews(reviews, ranked, most)
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    none = F.array().cast(reviews.schema["predicted_entities"].dataType)
+    write_files(own.select(F.col("file_name").alias("name"), F.col("text").alias("body")), folder)
+    write_files(own.withColumn("e", F.coalesce("predicted_entities", none)).select(F.concat(stem, F.lit(".json")).alias("name"), _as_json("e", True).alias("body")), folder)
+    write_jsonl(own, f"{folder.rstrip('/')}/reviews", single=True)
+    places = ranked.where(F.col("rank") <= most).select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"), "rank")
+    # at most ``most`` names
+    names = [r["file_name"] for r in own.select("file_name").join(places, "file_name").orderBy("rank").collect()]
+    manifest = {"count": len(names), "files": names}
+    write_files(reviews.sparkSession.createDataFrame([("manifest.json", json.dumps(manifest, ensure_ascii=False, indent=2))], "name string, body string"), folder)
+    return manifest
+
+
+def write_gold_files(reviews: DataFrame, folder: str) -> int:
+    """One JSON array file of gold (or, without a gold list, predicted) entities for each review (SNK-9)."""
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    return write_files(gold_of_reviews(reviews).select(F.concat(stem, F.lit(".json")).alias("name"), _as_json("entities", True).alias("body")), folder)
+
+
+def materialize(reviews: DataFrame, first: int, last: int, text_folder: str, span_folder: str | None = None) -> int:
+    """Texts, and with ``span_folder`` the entities, of the reviews whose number is from first to last, as files (SNK-12, SNK-13)."""
+    own = numbered_range(reviews, "file_name", first, last)
+    n = write_files(own.select(F.col("file_name").alias("name"), F.col("text").alias("body")), text_folder)
+    if span_folder:
+        write_gold_files(own, span_folder)
+    return n
+
+
 def gold_of_reviews(reviews: DataFrame) -> DataFrame:
     """file_name, entities: gold if there is a list, even an empty one, else the prediction (SNK-9)."""
     return reviews.select("file_name", F.coalesce("gold_entities", "predicted_entities", F.array()).alias("entities"))
