@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from textloom.plans import documents, registry, relational  # noqa: F401  registers the queries
+from textloom.plans import documents, entities, registry, relational, tables  # noqa: F401  registers the queries
 
 SF = "/root/testdata/sf0.001"
 

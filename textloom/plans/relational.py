@@ -68,17 +68,16 @@ def ngram_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("dense_cosine_topk", """
-WITH q AS (SELECT label, arg_min(vec_id, vec_id) AS vec_id, arg_min(embedding, vec_id) AS e FROM embeddings GROUP BY label),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_dot_product(q.e::DOUBLE[], c.embedding::DOUBLE[]) / (sqrt(list_dot_product(q.e::DOUBLE[], q.e::DOUBLE[])) * sqrt(list_dot_product(c.embedding::DOUBLE[], c.embedding::DOUBLE[]))), 9) AS cosine
-  FROM q JOIN embeddings AS c ON c.label = q.label AND c.vec_id <> q.vec_id)
-SELECT query_id, vec_id, cosine, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS k FROM s) WHERE k <= 5
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS cosine FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0)
+SELECT query_id, vec_id, round(cosine, 9) AS cosine, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS k FROM s) WHERE k <= 5
 """)
 def dense_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Each label's first vector against the vectors of its label (the labels are the blocks)."""
+    """The vectors whose id is divisible by 50 (the query set of searches) against every vector."""
     rows = table(spark, sf, "embeddings")
-    first = rows.groupBy("label").agg(F.min("vec_id").alias("query_id"), F.min_by("embedding", "vec_id").alias("q"))
-    scored = rows.join(first, "label").where("vec_id <> query_id").select("query_id", "vec_id", F.round(sim.cosine(F.col("q"), F.col("embedding")), 9).alias("cosine"))
-    return scored.selectExpr("query_id", "vec_id", "cosine", "cast(row_number() over (partition by query_id order by cosine desc, vec_id) as int) rank").where("rank <= 5")
+    queries = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    found = linking.embedding_top(queries, rows.select(F.col("vec_id").alias("code"), F.col("embedding").alias("vector")), k=5)
+    return found.select(F.col("query").alias("query_id"), F.col("code").alias("vec_id"), F.round("cosine", 9).alias("cosine"), "rank")
 
 
 @query("fuzzy_ratio_topk")
@@ -119,14 +118,14 @@ def kb_shortlist(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("kb_merge", """
 WITH b AS (SELECT p_brand AS code, arg_min(p_name, p_partkey) AS label, list(DISTINCT p_name) AS names FROM part WHERE p_size <= 25 GROUP BY p_brand),
-s AS (SELECT p_brand AS code, arg_min(p_name, p_partkey) AS label, list(DISTINCT p_name) AS names FROM part WHERE p_size > 25 AND p_size % 7 = 0 GROUP BY p_brand)
+s AS (SELECT p_brand AS code, arg_min(p_name, p_partkey) AS label, list(DISTINCT p_name) AS names FROM part WHERE p_size > 25 GROUP BY p_brand)
 SELECT coalesce(b.code, s.code) AS code, coalesce(b.label, s.label) AS label,
   array_to_string(list_sort(list_filter(list_distinct(list_concat(coalesce(b.names, []), coalesce(s.names, []))), lambda x: x <> coalesce(b.label, s.label))), '|') AS aliases
 FROM b FULL JOIN s ON b.code = s.code
 """)
 def kb_merge(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "part").selectExpr("p_partkey row_no", "p_brand code", "p_name label", "p_size")
-    base, seed = kb.group_rows(rows.where("p_size <= 25")), kb.group_rows(rows.where("p_size > 25 and p_size % 7 = 0"))
+    base, seed = kb.group_rows(rows.where("p_size <= 25")), kb.group_rows(rows.where("p_size > 25"))
     return kb.merge_seed(base, seed).select("code", "label", F.array_join("aliases", "|").alias("aliases"))
 
 
@@ -170,31 +169,30 @@ def prf_micro(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("review_rank", """
-WITH s AS (SELECT d.source AS doc_id, count(*) AS entities, count(*) FILTER (WHERE l.doc_id IS NULL) AS unmatched, count(*) FILTER (WHERE l.toxic = 1) AS assertions, count(DISTINCT d.lang) AS diversity
+WITH s AS (SELECT d.source AS doc_id, count(*) AS entities, count(*) FILTER (WHERE l.doc_id IS NULL) AS unmatched, count(*) FILTER (WHERE l.toxic = 1) AS assertions, count(DISTINCT CASE WHEN l.doc_id IS NULL THEN 'CHẨN_ĐOÁN' ELSE d.lang END) AS diversity
   FROM documents AS d LEFT JOIN labels AS l ON l.doc_id = d.doc_id GROUP BY d.source)
 SELECT doc_id, entities, unmatched, assertions, diversity, CAST(row_number() OVER (ORDER BY unmatched DESC, assertions DESC, diversity DESC, entities DESC, doc_id) AS INTEGER) AS rank FROM s
 """)
 def review_rank(spark: SparkSession, sf: str) -> DataFrame:
     """Sources as files, their documents as entities: without a label is without a code, toxic is an assertion."""
     rows = table(spark, sf, "documents").select("doc_id", "source", "lang").join(table(spark, sf, "labels").select(F.col("doc_id").alias("l"), "toxic"), F.col("doc_id") == F.col("l"), "left")
-    ent = rows.selectExpr("source doc_id", "if(l is null, 'CHẨN_ĐOÁN', 'THUỐC') kind", "lang type", f"if(l is null, {NO}, array('x')) candidates", f"if(toxic = 1, array('isNegated'), {NO}) assertions")
-    own = ent.groupBy("doc_id").agg(F.count(F.lit(1)).alias("entities"), F.count_if(F.size("candidates") == 0).alias("unmatched"), F.sum(F.size("assertions")).alias("assertions"), F.countDistinct("type").alias("diversity"))
-    return evaluation.review_rank(own)
+    ent = rows.selectExpr("source doc_id", "if(l is null, 'CHẨN_ĐOÁN', lang) type", f"if(l is null, {NO}, array('x')) candidates", f"if(toxic = 1, array('isNegated'), {NO}) assertions")
+    return evaluation.review_rank(evaluation.review_stats(rows.selectExpr("source doc_id"), ent)).drop("score")
 
 
 @query("compare_outputs", """
 WITH a AS (SELECT doc_id, lang AS type, CASE WHEN regexp_matches(lower(text), 'idiot|clown') THEN 1 ELSE 0 END AS n FROM documents),
-b AS (SELECT doc_id, lang AS type, CASE WHEN regexp_matches(lower(text), 'idiot') THEN 1 ELSE 0 END + CASE WHEN regexp_matches(lower(text), 'license') THEN 1 ELSE 0 END AS n, regexp_matches(lower(text), 'idiot') AS i FROM documents WHERE doc_id % 10 <> 3),
+b AS (SELECT doc_id, lang AS type, CASE WHEN regexp_matches(lower(text), 'idiot') THEN 1 ELSE 0 END + CASE WHEN regexp_matches(lower(text), 'license') THEN 1 ELSE 0 END AS n, regexp_matches(lower(text), 'idiot') AS i FROM documents WHERE NOT regexp_matches(lower(text), 'scum')),
 c AS (SELECT a.type, CASE WHEN b.doc_id IS NULL THEN 'missing' WHEN a.n = 0 AND b.n = 0 THEN 'same' WHEN a.n = 1 AND b.n = 1 AND b.i THEN 'same' WHEN a.n > 0 AND b.n = 0 THEN 'emptied' WHEN a.n = 0 AND b.n > 0 THEN 'filled' WHEN b.n > a.n THEN 'grew' ELSE 'changed' END AS change
   FROM a LEFT JOIN b ON b.doc_id = a.doc_id)
 SELECT type, change, count(*) AS n FROM c GROUP BY type, change
 """)
 def compare_outputs(spark: SparkSession, sf: str) -> DataFrame:
-    """Two variants of codes of documents; the second lacks some of them."""
+    """Two variants of codes of documents; the second has none of those that say a word."""
     rows = table(spark, sf, "documents")
     base = rows.selectExpr("doc_id", "lang type", f"if(lower(text) rlike 'idiot|clown', array('insult'), {NO}) candidates")
     one, two = f"if(lower(text) rlike 'idiot', array('insult'), {NO})", f"if(lower(text) rlike 'license', array('license'), {NO})"
-    changed = rows.where("doc_id % 10 <> 3").selectExpr("doc_id", "lang type", f"concat({one}, {two}) candidates")
+    changed = rows.where("not lower(text) rlike 'scum'").selectExpr("doc_id", "lang type", f"concat({one}, {two}) candidates")
     return evaluation.comparison_report(evaluation.compare(base, changed, ["doc_id", "type"]))
 
 
