@@ -179,3 +179,12 @@ def test_support_pick(spark):
     got = datasets.support_for(ex.where("id = '2'"), ex, 2).orderBy("rank").collect()
     assert [r.support_id for r in got] == ["1", "3"] and got[0].shared == 2
     assert {r.split for r in datasets.bundle_summary(ex.selectExpr("id split", "type")).collect()} == {"1", "2", "3", "4", None}
+
+
+def test_terms_are_found_on_both_sides_of_the_limit(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "C++ and c++; Ünï code, x_y ++"), (2, "(a) [b] the The"), (3, None), (4, "")], "doc_id int, text string")
+    terms = spark.createDataFrame([("s", "++"), ("s", "c++"), ("w", "ünï code"), ("w", "the"), ("w", "(a)"), ("w", "x_y"), ("w", "_")], "type string, term string")
+    few = sorted(map(tuple, gazetteer.mentions_of_table(docs, terms).collect()))
+    monkeypatch.setattr(gazetteer, "AUTOMATON_TERMS", 0)
+    assert sorted(map(tuple, gazetteer.mentions_of_table(docs, terms).collect())) == few and len(few) >= 8
+    assert any(r[4] == "++" for r in few)

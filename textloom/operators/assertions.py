@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lexicon import clinical as lex
-from .spans import enclosing
+from .spans import beside_text, enclosing
 
 
 def has_cue(text: Column, cues: list[str]) -> Column:
@@ -46,15 +46,19 @@ def infer(entities: DataFrame, clauses: DataFrame, docs: DataFrame, *, window: i
     own = entities.withColumn("__id", F.concat_ws(":", "start", "end", "type"))
     placed = enclosing(own, clauses, "__id", "clause_no")
     c = clauses.select("doc_id", "clause_no", F.col("start").alias("__a"), F.col("text").alias("__c"), F.col("default_assertions").alias("__d"))
-    texts = docs.select("doc_id", F.col("text").alias("__t"))
-    rows = placed.join(c, ["doc_id", "clause_no"], "left").join(texts, "doc_id")
-    near = F.substring(F.col("__t"), F.greatest(F.col("start") - window, F.lit(0)) + 1, F.least(F.col("start"), F.lit(window)))
-    near = since_separator(near)
+    # where the first phrase of drug histories ends in a document: one number, not the text before every span
+    low = F.lower("text")
+    ends = F.array_min(F.array_compact(F.array(*[F.when(low.contains(p), F.locate(p, low) - 1 + len(p)) for p in lex.DRUG_HISTORY_CUES])))
+    rows = placed.join(c, ["doc_id", "clause_no"], "left").join(docs.select("doc_id", ends.alias("__h")), "doc_id")
+    # texts are only met by spans that no clause holds
+    loose = placed.where("clause_no is null").select("doc_id", "__id", "start").distinct()
+    read = lambda m, text: {"__n": F.substring(text, F.greatest(m["start"] - window, F.lit(0)) + 1, F.least(m["start"], F.lit(window)))}
+    rows = rows.join(beside_text(loose, docs, read).select("doc_id", "__id", "__n"), ["doc_id", "__id"], "left")
+    near = since_separator(F.coalesce("__n", F.lit("")))
     inside = F.substring(F.col("__c"), F.lit(1), F.greatest(F.col("start") - F.col("__a"), F.lit(0)))
     prefix = after_contrast(F.lower(F.when(F.col("__c").isNotNull(), inside).otherwise(near)))
-    before = F.lower(F.substring(F.col("__t"), F.lit(1), F.col("start")))
-    rows = rows.withColumns({"__p": F.btrim(prefix), "__b": before})
-    historical = has_cue(F.col("__p"), lex.HISTORY_CUES) | ((F.col("type") == lex.DRUG) & has_cue(F.col("__b"), lex.DRUG_HISTORY_CUES))
+    rows = rows.withColumns({"__p": F.btrim(prefix), "__b": F.coalesce(F.col("__h") <= F.col("start"), F.lit(False))})
+    historical = has_cue(F.col("__p"), lex.HISTORY_CUES) | ((F.col("type") == lex.DRUG) & F.col("__b"))
     found = F.array_compact(
         F.array(
             F.when(negated(F.col("__p")), "isNegated"),
@@ -64,4 +68,4 @@ def infer(entities: DataFrame, clauses: DataFrame, docs: DataFrame, *, window: i
     )
     every = F.array_sort(F.array_union(F.coalesce("__d", F.array().cast("array<string>")), found))
     out = F.when(F.col("type").isin(*lex.ASSERTED_TYPES), every).otherwise(F.array().cast("array<string>"))
-    return rows.withColumn("assertions", out).drop("__id", "__a", "__c", "__d", "__t", "__p", "__b", "clause_no")
+    return rows.withColumn("assertions", out).drop("__id", "__a", "__c", "__d", "__n", "__h", "__p", "__b", "clause_no")

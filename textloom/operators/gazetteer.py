@@ -30,8 +30,10 @@ def mentions_of_table(docs: DataFrame, terms: DataFrame, source: str = "gazettee
     few = terms.select("type", "term").limit(AUTOMATON_TERMS + 1).collect()
     if len(few) <= AUTOMATON_TERMS:
         return mentions(docs, [(r["type"], r["term"]) for r in few], source)
-    token = S.regex_spans([("t", r"[^\W_]+")])
+    # a term is joined by its first token, one without letters or digits by its first sign
+    token = S.regex_spans([("t", r"[^\W_]+|[^\w\s]|_")])
     heads = terms.select("type", F.lower("term").alias("term")).withColumn("head", F.regexp_extract("term", r"[\p{L}\p{N}]+", 0))
+    heads = heads.withColumn("head", F.when(F.col("head") == "", F.regexp_extract("term", r"\S", 0)).otherwise(F.col("head"))).where("head <> ''")
     heads = heads.withColumn("lead", F.position("head", "term") - 1)
     places = docs.select("doc_id", F.lower("text").alias("low"), F.col("text").alias("raw"), F.explode(token("text")).alias("s"))
     hit = places.join(heads, F.lower("s.text") == F.col("head")).withColumn("start", F.col("s.start") - F.col("lead"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -78,6 +80,22 @@ def bio_align(tokens: DataFrame, entities: DataFrame) -> DataFrame:
     return tokens.join(best, ["doc_id", "token_no"], "left").withColumn("label", F.coalesce("label", F.lit("O")))
 
 
+def beside_text(spans: DataFrame, docs: DataFrame, read: Callable[[Column, Column], dict[str, Column]], *, how: str = "inner") -> DataFrame:
+    """``spans`` with the columns that ``read`` makes of a row (a struct) and its document's text.
+
+    A document's rows are collected before they meet its text, so that a text is
+    shuffled and looked at once, not once a span.
+    """
+    rest = [c for c in spans.columns if c != "doc_id"]
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct(*rest)).alias("__m"))
+    met = per_doc.join(docs.select("doc_id", F.col("text").alias("__t")), "doc_id", how)
+
+    def row(m: Column) -> Column:
+        return F.struct(m.alias("m"), F.struct(*[c.alias(name) for name, c in read(m, F.col("__t")).items()]).alias("r"))
+
+    return met.select("doc_id", F.explode(F.transform("__m", row)).alias("x")).select("doc_id", "x.m.*", "x.r.*")
+
+
 def to_raw(spans: DataFrame, to_raw: str = "to_raw") -> DataFrame:
     """Spans in an expanded text as spans in the raw one; empty ones and those out of range go (PRJ-2)."""
     inside = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.size(to_raw))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lexicon import clinical as lex
+from .spans import beside_text
 
 ENTITY_KEYS = ["text", "position", "type", "assertions", "candidates"]
 
@@ -30,9 +31,10 @@ def problem(size: Column, slice_: Column, types: list[str] = lex.ENTITY_TYPES, *
 
 def entity_problems(entities: DataFrame, docs: DataFrame, types: list[str] = lex.ENTITY_TYPES, *, empty_spans: bool = True) -> DataFrame:
     """Entities that break an invariant, with ``problem`` (FLT-11; FLT-13 with empty_spans=False)."""
-    rows = entities.join(docs.select("doc_id", F.col("text").alias("__t")), "doc_id", "left")
-    found = F.when(F.col("__t").isNull(), "no such document").otherwise(problem(F.length("__t"), F.expr("substring(__t, start + 1, end - start)"), types, empty_spans=empty_spans))
-    return rows.withColumn("problem", found).where("problem is not null").drop("__t")
+    read = lambda m, text: {"__n": F.length(text), "__s": F.substring(text, m["start"] + 1, m["end"] - m["start"])}
+    rows = beside_text(entities, docs, read, how="left")
+    found = F.when(F.col("__n").isNull(), "no such document").otherwise(problem(F.col("__n"), F.col("__s"), types, empty_spans=empty_spans))
+    return rows.withColumn("problem", found).where("problem is not null").drop("__n", "__s")
 
 
 def ner_problems(examples: DataFrame, types: list[str] = lex.ENTITY_TYPES) -> DataFrame:

@@ -133,9 +133,9 @@ SELECT k.doc_id, k.type, k.start, k."end", regexp_matches(lower(regexp_extract(s
 FROM kept AS k JOIN documents AS d ON d.doc_id = k.doc_id
 """)
 def assertion_flags(spark: SparkSession, sf: str) -> DataFrame:
-    rows = prune_contained(spark, sf).drop("text").join(docs(spark, sf), "doc_id")
-    prefix = F.lower(assertions.since_separator(F.expr("substring(text, 1, start)")))
-    return rows.select("doc_id", "type", "start", "end", assertions.has_cue(prefix, CUES).alias("flagged"))
+    read = lambda m, text: {"before": assertions.since_separator(F.substring(text, F.lit(1), m["start"]))}
+    rows = spans.beside_text(prune_contained(spark, sf).drop("text"), docs(spark, sf), read)
+    return rows.withColumn("before", F.lower("before")).select("doc_id", "type", "start", "end", assertions.has_cue(F.col("before"), CUES).alias("flagged"))
 
 
 @query("validate_spans", f"""
