@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +45,14 @@ def header_rule(header: Column, rules: Rules = lex.SECTION_RULES, *, longest: bo
     return F.transform(F.array(T.normalize_header(header)), first)[0]
 
 
+def _may_be_header(line: Column, rules: Rules) -> Column:
+    """Whether a line holds the longest word of some rule's phrase, which normalising never takes apart."""
+    low, out = F.lower(line), F.lit(False)
+    for word in sorted({max(re.split(r"[\s:]+", name), key=len) for _, names, _, _ in rules for name in names}):
+        out = out | low.contains(word)
+    return out
+
+
 def _described(df: DataFrame, rules: Rules) -> DataFrame:
     """kind, default_assertions and expected_types of column ``rule``."""
     kind, assertions, types = F.lit("general"), _array([]), _array([])
@@ -60,7 +70,10 @@ def sections(docs: DataFrame, rules: Rules = lex.SECTION_RULES, *, longest: bool
     ``general``.
     """
     found = lines(docs).withColumn("header", F.btrim(F.substring_index("line", ":", 1)))
-    found = found.withColumn("rule", F.coalesce(header_rule(F.col("header"), rules, longest=longest), header_rule(F.col("line"), rules, longest=longest)))
+    # without a colon the line is its header
+    whole = F.when(F.col("line").contains(":"), header_rule(F.col("line"), rules, longest=longest))
+    rule = F.coalesce(header_rule(F.col("header"), rules, longest=longest), whole)
+    found = found.withColumn("rule", F.when(_may_be_header(F.col("line"), rules), rule))
     begins = found.where("rule is not null").select("doc_id", "start", "header", "rule")
     whole = docs.select("doc_id", F.length("text").alias("size")).where("size > 0")
     # the general section at 0 gives way to a header there
