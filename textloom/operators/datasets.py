@@ -62,14 +62,22 @@ def support_examples(examples: DataFrame, most: int = 5) -> DataFrame:
 def support_for(queries: DataFrame, pool: DataFrame, k: int = 3) -> DataFrame:
     """query_id, rank, support_id: the pool's examples of the query's type with most shared tokens (TOP-9, STR-28).
 
-    Both have id, type, mention, context and codes; the pool is bounded by type.
+    Both have id, type, mention, context and codes.  Rows of equal type, tokens and
+    codes rank alike but for their own order, so that classes are compared, not
+    rows: each class of the pool stands with its first k + 1, and each class of
+    queries keeps k + 1, of which a query leaves out itself.
     """
-    p = pool.select(F.col("type"), F.col("id").alias("support_id"), T.token_set(F.col("mention")).alias("pt"), F.length("context").alias("pl"), F.array_sort("codes").alias("pc"))
-    q = queries.select("type", F.col("id").alias("query_id"), T.token_set(F.col("mention")).alias("qt"), F.array_sort("codes").alias("qc"))
-    pairs = q.join(p, "type").where(F.col("query_id") != F.col("support_id"))
-    pairs = pairs.withColumns({"shared": F.size(F.array_intersect("qt", "pt")), "size": F.size("pt"), "same": F.col("qc") == F.col("pc"), "h": F.sha1(F.col("support_id").cast("string").cast("binary"))})
-    w = W.partitionBy("query_id").orderBy(F.desc("shared"), F.desc("size"), F.desc("same"), "pl", F.desc("h"))
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "support_id", "shared")
+    tokens = lambda c: F.array_sort(T.token_set(F.col(c)))
+    p = pool.select("type", F.col("id").alias("support_id"), tokens("mention").alias("pt"), F.length("context").alias("pl"), F.array_sort("codes").alias("pc"))
+    p = p.withColumn("h", F.sha1(F.col("support_id").cast("string").cast("binary")))
+    p = p.withColumn("n", F.row_number().over(W.partitionBy("type", "pt", "pc").orderBy("pl", F.desc("h")))).where(F.col("n") <= k + 1).drop("n")
+    q = queries.select("type", F.col("id").alias("query_id"), tokens("mention").alias("qt"), F.array_sort("codes").alias("qc"))
+    pairs = q.select("type", "qt", "qc").distinct().join(p, "type")
+    pairs = pairs.withColumns({"shared": F.size(F.array_intersect("qt", "pt")), "size": F.size("pt"), "same": F.col("qc") == F.col("pc")})
+    best = F.row_number().over(W.partitionBy("type", "qt", "qc").orderBy(F.desc("shared"), F.desc("size"), F.desc("same"), "pl", F.desc("h")))
+    best = pairs.withColumn("place", best).where(F.col("place") <= k + 1).select(F.col("type").alias("t"), F.col("qt").alias("t2"), F.col("qc").alias("c2"), "place", "support_id", "shared")
+    mine = q.join(best, (F.col("type") == F.col("t")) & F.col("qt").eqNullSafe(F.col("t2")) & F.col("qc").eqNullSafe(F.col("c2"))).where(F.col("query_id") != F.col("support_id"))
+    return mine.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("place"))).where(F.col("rank") <= k).select("query_id", "rank", "support_id", "shared")
 
 
 def shortlist_text(shortlist: Column) -> Column:
