@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from textloom.functions import similarity as sim
 from textloom.lexicon import clinical as lex
 from textloom.operators import agents, datasets, evaluation, linking, mentions, spans, structure, validation
 from textloom.plans import workflows
@@ -178,3 +181,23 @@ def test_dense_search_in_shares(spark):
             scored = sorted(((-cosine(v, w), c) for c, w in rows if cosine(v, w) > 0))[:5]
             want += [(q, n, c) for n, (_, c) in enumerate(scored, 1)]
     assert [x[:2] for x in got] == [x[:2] for x in want] and len(got) == 15
+
+
+@pytest.mark.parametrize("bare", [False, True])
+def test_dense_search_scores_odd_vectors_as_the_columns_do(spark, bare):
+    rng = random.Random(5)
+    rows = [(f"c{i:03}", [rng.choice([-1.0, -0.5, 0.0, 0.25, 3.0]) * scale for _ in range(n)]) for i, (n, scale) in enumerate([(3, 1.0), (3, 1e-3), (4, 1.0), (3, 1e-200), (3, 1e170), (1, 2.0)] * 40)]
+    rows += [("d0", None), ("d1", []), ("d2", [1.0, None, 2.0]), ("d3", [0.0, 0.0, 0.0]), ("d4", [float("nan"), 1.0, 1.0]), ("d5", [float("inf"), 1.0, -1.0]), ("d6", [1.0, 2.0, 3.0]), ("d6", [1.0, 2.0, 3.0])]
+    rows += [(f"e{i}", [1.0, 1.0, 0.1]) for i in range(30)] + [(f"f{i}", None) for i in range(9)] + [(None, [1.0, 2.0, 3.0])]
+    records = spark.createDataFrame(rows, "code string, vector array<double>")
+    queries = spark.createDataFrame([(i // 2, v) for i, (_, v) in enumerate(rows) if i % 3 == 0 or i >= 240], "query int, vector array<double>")
+    a, b = F.col("q"), F.col("vector")
+    plain = sim.dot(a, b) / F.nullif(F.sqrt(sim.dot(a, a)) * F.sqrt(sim.dot(b, b)), F.lit(0.0)) if bare else sim.cosine(a, b)
+    if bare:
+        queries, records = (df.where("exists(vector, x -> x <> 0 and abs(x) between 1e-100 and 1e100) or vector is null") for df in (queries, records))
+    scored = queries.withColumnRenamed("vector", "q").crossJoin(records).select("query", "code", plain.alias("cosine"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), F.asc_nulls_last("code")))
+    want = scored.withColumn("rank", rank).where("rank <= 6").orderBy("query", "rank").collect()
+    for shares in (1, 5, None):
+        got = linking.embedding_top(queries, records, k=6, shares=shares, bare=bare).select("query", "code", "cosine", "rank").orderBy("query", "rank").collect()
+        assert list(map(str, got)) == list(map(str, want))

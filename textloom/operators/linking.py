@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
+from ..functions import dense
 from ..functions import similarity as sim
 from ..functions import text as T
 from ..lexicon import clinical as lex
@@ -20,6 +22,8 @@ from ..lexicon import clinical as lex
 BLOCK_MOST = 400
 #: Shares of the records that a query without common tokens meets, each in a join of its own key.
 SHARES = 64
+#: Components of the vectors that a task of a dense search holds, and records that are worth a share.
+SHARE_COMPONENTS, SHARE_ROWS = 1 << 21, 4096
 
 
 def aliases(kb: DataFrame) -> DataFrame:
@@ -121,21 +125,32 @@ def best_per_code(scored: DataFrame, by: list[str], form: str) -> DataFrame:
     return best.select(*by, "code", "x.*")
 
 
-def embedding_top(queries: DataFrame, records: DataFrame, *, k: int, above: float | None = None, shares: int = SHARES) -> DataFrame:
+def embedding_top(queries: DataFrame, records: DataFrame, *, k: int, above: float | None = None, shares: int | None = None, bare: bool = False) -> DataFrame:
     """query, code, cosine, rank: the k records whose vectors are most like the query's (TOP-4, SIM-14).
 
     ``queries`` has query and vector, ``records`` code and vector.  Records are
-    dealt into shares; every query meets every share, and each task hands on the k
-    best of its own.  Ties go by code; ``above`` drops those of at most so much.
+    dealt into shares (as many as bound what a task holds); every query meets every share,
+    is scored there by blocks of products, and each task hands on the k best of its own.
+    Ties go by code; ``above`` drops those of at most so much.  ``bare``: the plain
+    quotient, which is null or not a number where a vector is null or zero, instead of 0.
     """
-    asked = queries.select("query", F.col("vector").alias("__q"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("__share"))
-    dealt = records.select("code", F.col("vector").alias("__r"), F.pmod(F.xxhash64("code"), F.lit(shares)).cast("int").alias("__share"))
-    scored = asked.join(dealt, "__share").select("query", "code", sim.cosine(F.col("__q"), F.col("__r")).alias("cosine"), "__share")
+    if shares is None:
+        n, components = records.select(F.count(F.lit(1)), F.sum(F.greatest(F.size("vector"), F.lit(1)).cast("long"))).first()
+        shares = max(1, -(-(components or 0) // SHARE_COMPONENTS), min(SHARES, -(-n // SHARE_ROWS)))
+    floats = all(df.schema["vector"].dataType == ArrayType(FloatType()) for df in (queries, records))
+    vector = F.col("vector").cast("array<float>" if floats else "array<double>").alias("vector")
+    of = {"query": queries.schema["query"].dataType, "code": records.schema["code"].dataType}
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("__share"), F.lit(True).alias("__asked"), "query", F.lit(None).cast(of["code"]).alias("code"), vector)
+    # equal rows share a hash; those that only share a code do not crowd one task
+    share = F.pmod(F.xxhash64("code", "vector"), F.lit(shares)).cast("int")
+    dealt = records.select(share.alias("__share"), F.lit(False).alias("__asked"), F.lit(None).cast(of["query"]).alias("query"), "code", vector)
+    met = dealt.union(asked).repartition(shares, "__share").sortWithinPartitions("__share", "__asked", F.asc_nulls_last("code"))
+    found = StructType([StructField("query", of["query"]), StructField("code", of["code"]), StructField("cosine", DoubleType())])
+    near = met.mapInArrow(dense.search(k, bare), found)
     if above is not None:
-        scored = scored.where(F.col("cosine") > above)
-    order = [F.desc("cosine"), F.asc("code")]
-    near = scored.withColumn("rank", F.row_number().over(W.partitionBy("query", "__share").orderBy(*order))).where(F.col("rank") <= k)
-    return near.select("query", "code", "cosine", F.row_number().over(W.partitionBy("query").orderBy(*order)).alias("rank")).where(F.col("rank") <= k)
+        near = near.where(F.col("cosine") > above)
+    order = [F.desc("cosine"), F.asc_nulls_last("code")]
+    return near.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(*order))).where(F.col("rank") <= k)
 
 
 def link(mentions: DataFrame, kb: DataFrame, *, k: int = 3, least: float = 0.55, abbreviations: dict[str, str] | None = None, similarity: Callable[..., Column] = sim.ngram_cosine, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:

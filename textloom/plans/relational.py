@@ -76,7 +76,7 @@ def dense_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The vectors whose id is divisible by 50 (the query set of searches) against every vector."""
     rows = table(spark, sf, "embeddings")
     queries = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
-    found = linking.embedding_top(queries, rows.select(F.col("vec_id").alias("code"), F.col("embedding").alias("vector")), k=5)
+    found = linking.embedding_top(queries, rows.select(F.col("vec_id").alias("code"), F.col("embedding").alias("vector")), k=5, bare=True)
     return found.select(F.col("query").alias("query_id"), F.col("code").alias("vec_id"), F.round("cosine", 9).alias("cosine"), "rank")
 
 
